@@ -414,6 +414,7 @@ def split_long(text: str, limit: int, path: str) -> list[np.ndarray]:
             points = np.frombuffer((piece + "\0").encode("utf-32-le", "surrogatepass"), np.uint32)
             starts = np.flatnonzero(token_starts(points, np.array([len(piece)])))
             starts = starts[(starts > 0) & (starts < len(piece) - 3)]
+            starts = starts[code_point_classes()[points[starts - 1]] < 3]  # cut no run of spaces
             if not len(starts):
                 width *= 2
                 continue

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexweave.llm import bpe
+from lexweave.llm import bpe, simhash
 from lexweave.llm.common import table
 
 
@@ -22,8 +22,15 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-copy component of every document."""
+    found = simhash.components(table(spark, sf_dir, "documents").select("doc_id", "text"), spark)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLES: dict[str, str] = {}
