@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexweave.llm import bpe, simhash
+from lexweave.llm import bpe, secrets, simhash
 from lexweave.llm.common import table
 
 
@@ -22,6 +22,22 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: base kinds, and weak parts that are linked."""
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    shown = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+    return found.select(
+        "doc_id",
+        of("assign").alias("n_assign"),
+        of("access").alias("n_access"),
+        of("hex").alias("n_hex"),
+        F.sha2(shown(base), 256).alias("base_sha256"),
+        shown(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-copy component of every document."""
     found = simhash.components(table(spark, sf_dir, "documents").select("doc_id", "text"), spark)
@@ -30,6 +46,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op6_secret_links": op6_secret_links,
     "op10_simhash": op10_simhash,
 }
 
