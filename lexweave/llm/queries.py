@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexweave.llm import bpe, secrets, simhash
+from lexweave.llm import bpe, decontaminate, quality, secrets, simhash
 from lexweave.llm.common import table
 
 
@@ -22,6 +22,15 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of remainder 1 are held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), quality.remainder(F.col("__id"), 3) != 1)
+    held = F.coalesce(quality.remainder(F.col("doc_id"), 3) == 1, F.lit(False))
+    scored = quality.score(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: base kinds, and weak parts that are linked."""
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
@@ -38,6 +47,11 @@ def op6_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item whose passage it holds."""
+    return decontaminate.matches(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-copy component of every document."""
     found = simhash.components(table(spark, sf_dir, "documents").select("doc_id", "text"), spark)
@@ -46,7 +60,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_quality_rank": op2_quality_rank,
     "op6_secret_links": op6_secret_links,
+    "op9_decontaminate": op9_decontaminate,
     "op10_simhash": op10_simhash,
 }
 
