@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexweave.llm import bpe, decontaminate, quality, secrets, simhash
+from lexweave.llm import bpe, decontaminate, quality, secrets, simhash, toxicity
 from lexweave.llm.common import table
 
 
@@ -31,6 +31,15 @@ def op2_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_toxic_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; labels of remainder 0 are held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), quality.remainder(F.col("__id"), 5) != 0)
+    held = F.coalesce(quality.remainder(F.col("doc_id"), 5) == 0, F.lit(False))
+    scored = toxicity.score(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: base kinds, and weak parts that are linked."""
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
@@ -61,6 +70,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_quality_rank": op2_quality_rank,
+    "op3_toxic_words": op3_toxic_words,
     "op6_secret_links": op6_secret_links,
     "op9_decontaminate": op9_decontaminate,
     "op10_simhash": op10_simhash,
