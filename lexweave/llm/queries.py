@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexweave.llm import bpe, decontaminate, quality, secrets, simhash, toxicity
+from lexweave.llm import bpe, decontaminate, kneser_ney, quality, secrets, simhash, toxicity
 from lexweave.llm.common import table
 
 
@@ -40,6 +40,15 @@ def op3_toxic_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document under the model and under the unigram base; remainder 2 is held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = F.coalesce(quality.remainder(F.col("doc_id"), 7) == 2, F.lit(False))
+    model = kneser_ney.fit(docs, spark, ~held)
+    scored = kneser_ney.score(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op6_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: base kinds, and weak parts that are linked."""
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
@@ -71,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_quality_rank": op2_quality_rank,
     "op3_toxic_words": op3_toxic_words,
+    "op4_kneser_ney": op4_kneser_ney,
     "op6_secret_links": op6_secret_links,
     "op9_decontaminate": op9_decontaminate,
     "op10_simhash": op10_simhash,
