@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexweave.llm import bpe, decontaminate, kneser_ney, quality, secrets, simhash, toxicity
+from lexweave.llm import bpe, decontaminate, kneser_ney, quality, rangecoder, secrets, simhash, toxicity
 from lexweave.llm.common import table
 
 
@@ -49,6 +49,12 @@ def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written to range-coded files in order of doc_id and read back."""
+    folder = rangecoder.write(table(spark, sf_dir, "documents").select("doc_id", "text"), spark)
+    return rangecoder.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("token_ids").alias("ids_crc32"))
+
+
 def op6_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: base kinds, and weak parts that are linked."""
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
@@ -81,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rank": op2_quality_rank,
     "op3_toxic_words": op3_toxic_words,
     "op4_kneser_ney": op4_kneser_ney,
+    "op5_token_files": op5_token_files,
     "op6_secret_links": op6_secret_links,
     "op9_decontaminate": op9_decontaminate,
     "op10_simhash": op10_simhash,
