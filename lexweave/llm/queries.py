@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexweave.llm import bpe, decontaminate, kneser_ney, quality, rangecoder, secrets, simhash, toxicity
+from lexweave.llm import bpe, decontaminate, kneser_ney, quality, rangecoder, secrets, simhash, tiff, toxicity
 from lexweave.llm.common import table
 
 
@@ -71,6 +71,22 @@ def op6_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_tiff_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's bytes stored as TIFF pages and read back."""
+    stored = tiff.store(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    back = tiff.payloads(stored)
+    return back.select(
+        "doc_id",
+        "n_bytes",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.expr("substring(payload, -32, 32)")).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        "feature",
+    )
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pair of a document and a benchmark item whose passage it holds."""
     return decontaminate.matches(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
@@ -89,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_kneser_ney": op4_kneser_ney,
     "op5_token_files": op5_token_files,
     "op6_secret_links": op6_secret_links,
+    "op7_tiff_pages": op7_tiff_pages,
     "op9_decontaminate": op9_decontaminate,
     "op10_simhash": op10_simhash,
 }
