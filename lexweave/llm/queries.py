@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexweave.llm import bpe, decontaminate, kneser_ney, quality, rangecoder, secrets, simhash, tiff, toxicity
+from lexweave.llm import bpe, decontaminate, kneser_ney, quality, rangecoder, secrets, simhash, tiff, toxicity, warczip
 from lexweave.llm.common import table
 
 
@@ -87,6 +87,12 @@ def op7_tiff_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record into ZIP archives and read back by ranges."""
+    folder = warczip.write(table(spark, sf_dir, "pages").select("page_id", "url", "html"), spark)
+    return warczip.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pair of a document and a benchmark item whose passage it holds."""
     return decontaminate.matches(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
@@ -106,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_files": op5_token_files,
     "op6_secret_links": op6_secret_links,
     "op7_tiff_pages": op7_tiff_pages,
+    "op8_warc_zip": op8_warc_zip,
     "op9_decontaminate": op9_decontaminate,
     "op10_simhash": op10_simhash,
 }
