@@ -6,5 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from lexweave.plans import pool
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**pool.QUERIES}
+ORACLES: dict[str, str] = {**pool.ORACLES}
