@@ -20,6 +20,11 @@ def collapse(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, BLANKS, " "), "^ | $", "")
 
 
+def collapse_ends(text: Column) -> Column:
+    """Without white space at both ends, of any kind."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def normalized(text: Column) -> Column:
     """Lower case and collapsed; null counts as empty. The form in which texts are compared."""
     return F.lower(collapse(F.coalesce(text, F.lit(""))))
@@ -110,6 +115,12 @@ def fold_for_match(word: Column, unicode: bool = True) -> Column:
     return F.when(F.coalesce(word, F.lit("")).rlike(r"^[\x00-\x7F]*$"), plain).otherwise(_fold_udf(word)) if unicode else plain
 
 
+def fold_native(word: Column) -> Column:
+    """The fold by built-in functions: common Latin letters lose their marks, other letters stay."""
+    plain = F.translate(F.lower(F.coalesce(word, F.lit(""))), "ıàáâãäåçèéêëìíîïñòóôõöùúûüýÿşğ", "iaaaaaaceeeeiiiinooooouuuuyysg")
+    return F.regexp_replace(plain, r"[^\p{L}\p{Nd}]", "")
+
+
 def shared_prefix_len(a: Column, b: Column) -> Column:
     """Characters that two strings begin with alike."""
     lengths = F.sequence(F.lit(0), F.least(F.length(a), F.length(b)))
