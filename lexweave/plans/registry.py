@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexweave.plans import pool
+from lexweave.plans import pool, stores
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**pool.QUERIES}
-ORACLES: dict[str, str] = {**pool.ORACLES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**pool.QUERIES, **stores.QUERIES}
+ORACLES: dict[str, str] = {**pool.ORACLES, **stores.ORACLES}
