@@ -169,7 +169,7 @@ def inflected_forms(headword: Column) -> Column:
 def surface_pattern(headword: Column) -> Column:
     """Regular expression of a headword's forms as whole words, in any case."""
     quoted = F.transform(inflected_forms(headword), lambda x: F.concat(F.lit("\\Q"), x, F.lit("\\E")))
-    return F.concat(F.lit("(?iu)\\b(?:"), F.array_join(quoted, "|"), F.lit(")\\b"))
+    return F.concat(F.lit("(?iU)\\b(?:"), F.array_join(quoted, "|"), F.lit(")\\b"))
 
 
 def count_surface(text: Column, headword: Column) -> Column:
@@ -245,7 +245,7 @@ def blanked(text: Column, headword: Column) -> Column:
 
 
 def _literal(word: Column) -> Column:
-    return F.concat(F.lit("(?iu)\\b\\Q"), F.trim(word), F.lit("\\E\\b"))
+    return F.concat(F.lit("(?iU)\\b\\Q"), F.trim(word), F.lit("\\E\\b"))
 
 
 def without_word(text: Column, word: Column) -> Column:
