@@ -117,4 +117,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+#: Of these operators only the archive's rows are within SQL; the others are held against brute force in tests/llm.
+ORACLES: dict[str, str] = {
+    "op8_warc_zip": """
+WITH d AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT digest, min(page_id) AS first FROM d WHERE n >= 100 GROUP BY digest)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d LEFT JOIN f USING (digest)""",
+}
