@@ -198,7 +198,7 @@ def exported(rows: DataFrame) -> DataFrame:
 def saved(corrections: DataFrame, stamp: str, default_l1: str | None = None) -> DataFrame:
     """Lines to append to the store of corrections: as they came, with when and for which language."""
     raw = F.regexp_replace(F.trim("value"), r"\}$", "")
-    lang = F.coalesce(F.col(LANGUAGE), F.lit(default_l1).cast("string"))
+    lang = F.when(F.col(LANGUAGE).isNull(), F.lit(default_l1).cast("string"))  # a line's own language is in it already
     more = F.to_json(F.struct(lang.alias("l1"), F.lit(stamp).alias("saved_at")))
     return corrections.where("problem is null").select(F.concat(raw, F.lit(", "), F.regexp_replace(more, r"^\{", "")).alias("value"))
 
