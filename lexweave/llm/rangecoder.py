@@ -28,6 +28,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,7 @@ SLOTS = 512  # places for each order's proposals
 HIGH = 256  # high parts of ids under 65536
 HIGH_BITS = 14
 #: Chunks whose ids a worker remembers.
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 800_000
 #: Text bytes for one file, about.
 FILE_BYTES = 40 << 20
 #: Text bytes that are tokenised at a time.
@@ -294,9 +295,12 @@ def unpack_file(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
 class Chunks(dict):
     """White-space-free chunk of a text -> row of a table of its ids.
 
-    The tokenizer drops white space and joins nothing across it, so a text's ids
-    are its chunks' ids; the library sees each distinct chunk once while it is
-    remembered.
+    The tokenizer folds case, drops white space and joins nothing across it, so a
+    text's ids are its chunks' ids, and the library sees each distinct chunk once
+    while it is remembered.  Two more rules save calls: a chunk that ends in one
+    stop after a letter is that letter word and the stop, which the tokenizer
+    always parts; and words of letters alone are encoded many to a call, since
+    each is one word to the tokenizer, whose last id is marked as a word's end.
     """
 
     def __init__(self, path: str):
@@ -306,8 +310,18 @@ class Chunks(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
+        # the saving rules hold for this kind of tokenizer only; others are asked chunk by chunk
+        self.marked = self._ids(["ab cd, ab"]) == [self._ids(["ab"])[0] + self._ids(["cd"])[0] + self._ids([","])[0] + self._ids(["ab"])[0]] and self._ids(["AB"]) == self._ids(["ab"])
+        marks = {m: self._ids([m])[0] for m in ".,;:!?"}
+        self.stops = {m: ids[0] for m, ids in marks.items() if len(ids) == 1}
         self.forget()
 
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def forget(self) -> None:
         self.clear()
         self.flat, self.offsets, self.pending = np.zeros(0, np.uint32), np.zeros(1, np.int64), []
@@ -319,19 +333,62 @@ class Chunks(dict):
             self[chunk] = row
         return row
 
+    def _settle(self) -> None:
+        """Rows of pending chunks, in their order of coming."""
+        pending, self.pending = self.pending, []
+        number: dict[str, int] = {}
+        word = np.full(len(pending), -1, np.int64)
+        stop = np.full(len(pending), -1, np.int64)
+        other, texts = [], []
+        for i, chunk in enumerate(pending):
+            text = chunk.decode("utf-8", "replace")
+            if self.marked and text.lower().isalpha():
+                word[i] = number.setdefault(text, len(number))
+            elif self.marked and text[-1] in self.stops and text[:-1].lower().isalpha():
+                word[i] = number.setdefault(text[:-1], len(number))
+                stop[i] = self.stops[text[-1]]
+            else:
+                other.append(i)
+                texts.append(text)
+        ids, sizes = self._words(list(number))
+        begin = np.cumsum(sizes) - sizes
+        rest = self._ids(texts) if texts else []
+        rest_sizes = np.fromiter(map(len, rest), np.int64, len(rest))
+        pool = np.concatenate([ids, np.array([x for got in rest for x in got], np.uint32)])
+        at, counts = np.zeros(len(pending), np.int64), np.zeros(len(pending), np.int64)
+        plain = word >= 0
+        at[plain], counts[plain] = begin[word[plain]], sizes[word[plain]]
+        at[other], counts[other] = len(ids) + np.cumsum(rest_sizes) - rest_sizes, rest_sizes
+        flat, marked = gather_runs(pool, at, counts), np.flatnonzero(stop >= 0)
+        flat = np.insert(flat, np.cumsum(counts)[marked], stop[marked])
+        counts[marked] += 1
+        self.flat = np.concatenate([self.flat, flat.astype(np.uint32)])
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(counts)])
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of words of letters alone end to end, ids of each), many words to a call."""
+        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(words), 20_000):
+            part = words[at : at + 20_000]
+            got = np.array(list(chain.from_iterable(self._ids([" ".join(part[k : k + 100]) for k in range(0, len(part), 100)]))), np.uint32)
+            cuts = np.flatnonzero(self.ends[got]) + 1
+            if len(cuts) == len(part) and cuts[-1] == len(got):
+                own = np.diff(cuts, prepend=0)
+            else:  # some word is more than one to the tokenizer
+                each = self._ids(part)
+                got, own = np.array(list(chain.from_iterable(each)), np.uint32), np.fromiter(map(len, each), np.int64, len(each))
+            ids.append(got), sizes.append(own)
+        return np.concatenate(ids), np.concatenate(sizes)
+
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end id; ids of each text)."""
         if len(self) > CACHE_CHUNKS:
             self.forget()
-        chunks = [t.split() for t in texts]
+        chunks = [(t.lower() if self.marked else t).split() for t in texts]
         sizes = np.array([len(c) for c in chunks], np.int64)
-        rows = np.fromiter((r for c in chunks for r in map(self.__getitem__, c)), np.int64, int(sizes.sum()))
-        for at in range(0, len(self.pending), 20_000):
-            got = [e.ids for e in self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in self.pending[at : at + 20_000]], add_special_tokens=False)]
-            counts = np.array([len(x) for x in got], np.int64)
-            self.flat = np.concatenate([self.flat, np.array([i for x in got for i in x], np.uint32)])
-            self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(counts)])
-        self.pending = []
+        rows = np.fromiter(map(self.__getitem__, chain.from_iterable(chunks)), np.int64, int(sizes.sum()))
+        if self.pending:
+            self._settle()
         begin, counts = self.offsets[rows], np.diff(self.offsets)[rows]
         first = np.cumsum(sizes) - sizes
         upto = np.concatenate([[0], np.cumsum(counts)])
