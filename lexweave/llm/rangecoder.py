@@ -41,10 +41,11 @@ from lexweave.llm.common import file_system, fresh_dir, put_file
 
 MAGIC = b"IDMIX01\n"
 #: Ids in a block; blocks coded side by side.
-BLOCK, LANES = 2048, 8192
+BLOCK, LANES = 2048, 4096
 SLOTS = 512  # places for each order's proposals
-HIGH = 256  # high parts of ids under 65536
-HIGH_BITS = 14
+LOW_BITS = 10  # of an id's low part, which is coded evenly
+HIGH = 1 << (16 - LOW_BITS)  # high parts of ids under 65536
+HIGH_BITS = 22 - LOW_BITS  # of the frequencies of high parts
 #: Chunks whose ids a worker remembers.
 CACHE_CHUNKS = 800_000
 #: Text bytes for one file, about.
@@ -58,8 +59,8 @@ class Lanes:
     """Model of each lane; `odds` says how an id is coded next, `learn` takes the id in.
 
     An id's share of the interval is counted in 2^34 parts: 2^12 parts are dealt
-    among the proposals and the rest, and the rest is dealt by order-0 frequencies
-    (2^14) of the high part and evenly (2^8) by the low byte.
+    among the proposals and the rest, and the rest (2^22) is dealt by order-0
+    frequencies of the high part and evenly by the low part.
     """
 
     def __init__(self, n: int):
@@ -80,7 +81,7 @@ class Lanes:
     def refresh(self) -> None:
         """Cumulative order-0 frequencies from the counts so far."""
         total = np.cumsum(self.counts.reshape(self.n, HIGH), axis=1, dtype=np.int64)
-        cum = np.zeros((self.n, HIGH + 1), np.int64)
+        cum = np.zeros((self.n, HIGH + 1), np.int32)
         cum[:, 1:] = total * ((1 << HIGH_BITS) - HIGH) // total[:, -1:] + np.arange(1, HIGH + 1)
         self.cum = cum.ravel()
 
@@ -123,11 +124,9 @@ class Lanes:
         fresh = ids.astype(np.int32) * 16 + 1
         for k in (0, 1):
             cell = self.cell[k]
-            trust = cell & 15
-            right = self.guess[k] == ids
-            stay = np.where(right, cell + (trust < 15), np.where(trust > 1, cell - ((trust + 1) >> 1), fresh))
-            self.cells[k][self.slots[k]] = np.where(trust > 0, stay, fresh)
-        self.counts[self.count_base + (ids >> 8)] += 24
+            kept = cell + ((cell & 15) < 15)
+            self.cells[k][self.slots[k]] = np.where(self.guess[k] == ids, kept, fresh)
+        self.counts[self.count_base + (ids >> LOW_BITS)] += 24
         self.last = [ids, self.last[0]]
         self.steps += 1
         if self.steps in _REFRESH or not self.steps % 256:
@@ -135,6 +134,7 @@ class Lanes:
 
 
 _REFRESH = frozenset((8, 16, 32, 64, 128, 192))
+LOW = (1 << LOW_BITS) - 1
 #: The interval is at least 2^48 of 2^64 wide; what leaves it goes out in 16-bit digits.
 TOTAL, LEAST, DIGIT = np.uint64(34), np.uint64(1 << 48), np.uint64(16)
 TOP = np.uint64(48)
@@ -150,11 +150,11 @@ def encode_lanes(ids: np.ndarray) -> list[bytes]:
     for step in range(steps):
         now = ids[step].astype(np.int64)
         state.odds()
-        high = state.high_base + (now >> 8)
-        begin = state.cum.take(high)
+        high = state.high_base + (now >> LOW_BITS)
+        begin = state.cum.take(high).astype(np.int64)
         size = state.cum.take(high + 1) - begin
         rest = 4096 - state.proposed
-        cum = (state.proposed << 22) + (begin * 256 + (now & 255) * size) * rest
+        cum = (state.proposed << 22) + ((begin << LOW_BITS) + (now & LOW) * size) * rest
         size *= rest
         hit = [np.zeros(n, bool), np.zeros(n, bool)]
         at = state.use[0]
@@ -217,15 +217,17 @@ def decode_lanes(payloads: list[bytes], steps: int) -> np.ndarray:
         hit[1] = ~hit[0] & (top < state.proposed)
         rest = 4096 - state.proposed
         inner = np.maximum(value - (state.proposed << 22), 0) // rest
-        part = inner >> 8
+        part = inner >> LOW_BITS
         high = state.high_base.copy()
-        for bit in (128, 64, 32, 16, 8, 4, 2, 1):
+        bit = HIGH >> 1
+        while bit:
             high += bit * (state.cum.take(high + bit) <= part)
-        begin = state.cum.take(high)
+            bit >>= 1
+        begin = state.cum.take(high).astype(np.int64)
         size = state.cum.take(high + 1) - begin
-        byte = (inner - begin * 256) // size
-        now = ((high - state.high_base) << 8) | byte
-        cum = (state.proposed << 22) + (begin * 256 + byte * size) * rest
+        low = (inner - (begin << LOW_BITS)) // size
+        now = ((high - state.high_base) << LOW_BITS) | low
+        cum = (state.proposed << 22) + ((begin << LOW_BITS) + low * size) * rest
         size *= rest
         won = np.flatnonzero(hit[0])
         now[won], cum[won], size[won] = state.guess[0][won], 0, state.parts[0][won] << 22
