@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexweave.functions.hashing import stable_key
+from lexweave.session import settled
 
 
 class UniverseError(ValueError):
@@ -44,11 +45,12 @@ def dense_numbers(rows: DataFrame, order: list, name: str, first: int = 1, bucke
     """Adds consecutive numbers in a total order.
 
     With buckets, rows are ranged by the first sort column, numbered within their
-    range and shifted by the ranges before it, so that no task sorts all rows.
+    range and shifted by the ranges before it, so that no task sorts all rows.  The
+    ranges come from a sample, so they are settled before they are counted.
     """
     if not buckets:
         return rows.withColumn(name, F.row_number().over(W.orderBy(*order)) + F.lit(first - 1))
-    ranged = rows.repartitionByRange(buckets, *order).withColumn("__range", F.spark_partition_id())
+    ranged = settled(rows.repartitionByRange(buckets, *order).withColumn("__range", F.spark_partition_id()))
     sizes = ranged.groupBy("__range").agg(F.count("*").alias("__n"))
     shift = sizes.select("__range", (F.sum("__n").over(W.orderBy("__range")) - F.col("__n")).alias("__shift"))
     numbered = ranged.withColumn("__nth", F.row_number().over(W.partitionBy("__range").orderBy(*order)))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -19,3 +21,11 @@ def session(master: str | None = None, name: str = "lexweave", **more: str) -> S
     if master:
         builder = builder.master(master)
     return builder.config(map={**SETTINGS, **more}).getOrCreate()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The rows as they are now, kept in the cluster's checkpoint folder (our own only where none is set)."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getConf().get("spark.checkpoint.dir") and not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="lexweave-checkpoints-"))
+    return df.checkpoint(eager=True)

@@ -8,6 +8,19 @@ from pyspark.sql import functions as F
 
 from lexweave.operators import gates as G
 
+
+
+@pytest.fixture(autouse=True, scope="module")
+def interpreted(spark):
+    """A few rows through very large expressions: compiling them would take longer than reading them."""
+    settings = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k in settings:
+        spark.conf.unset(k)
+
+
 CARD = {"gloss_en": "a place to keep money", "register": "neutral", "examples": ["She went to the bank today.", "The bank closes at five."]}
 CLOZE = {
     "questions": [
