@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +16,21 @@ from lexweave import dims
 BLANKS = r"(?U)\s+"
 
 
+def with_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that are computed once a row, where they stand.
+
+    A filter on a plain computed column is moved below it and computes it again, as
+    often as its expression names it; nothing is moved through a generator.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("__once")).select(*kept, *[F.col(f"__once.{n}").alias(n) for n in columns])
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once however often it is named."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+
 def collapse(text: Column) -> Column:
     """Trimmed, with runs of white space as one blank."""
     return F.regexp_replace(F.regexp_replace(text, BLANKS, " "), "^ | $", "")

@@ -7,6 +7,9 @@ gate gives struct<ok, reason, warnings, ...payload>.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,9 +75,19 @@ def verdict(reject: Column, warnings: Column, **payload: Column) -> Column:
     )
 
 
-def card(answer: Column, headword: Column) -> Column:
+def reading(check: Callable[..., Column]) -> Callable[..., Column]:
+    """A check of a parsed answer as a check of its text, which is parsed once."""
+
+    @functools.wraps(check)
+    def of_text(answer: Column, *more, **named) -> Column:
+        return X.once(X.json_object(answer), lambda v: check(v, *more, **named))
+
+    return of_text
+
+
+@reading
+def card(v: Column, headword: Column) -> Column:
     """A dictionary card: its gloss, two examples, its register."""
-    v = X.json_object(answer)
     gloss = text_of(v, "$.gloss_en")
     given = F.filter(F.transform(F.coalesce(list_of(v, "$.examples"), F.expr("cast(array() as array<variant>)")), lambda x: text_of(x)), lambda x: x != "")
     examples = F.slice(given, 1, EXAMPLES)
@@ -97,9 +110,9 @@ def _letters(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit("[a-zA-Z']+"), F.lit(0)), F.lower)
 
 
-def usage_note(answer: Column, gloss_en: Column) -> Column:
+@reading
+def usage_note(v: Column, gloss_en: Column) -> Column:
     """A usage note, which an unknown or empty reason clears."""
-    v = X.json_object(answer)
     given, note = F.lower(text_of(v, "$.reason")), text_of(v, "$.usage_note")
     known = given.isin(NOTE_REASONS)
     reason = F.when(known, given).otherwise("none")
@@ -120,9 +133,9 @@ def usage_note(answer: Column, gloss_en: Column) -> Column:
     return verdict(reject, warnings, note_reason=F.when(idle, "none").otherwise(reason), note=F.when(idle, F.lit("")).otherwise(note))
 
 
-def gloss_l1(answer: Column, headword: Column, pos: Column, gloss_en: Column, l1: str) -> Column:
+@reading
+def gloss_l1(v: Column, headword: Column, pos: Column, gloss_en: Column, l1: str) -> Column:
     """A short translation: its length, its language, its dictionary form."""
-    v = X.json_object(answer)
     gloss, note = text_of(v, "$.gloss_l1"), text_of(v, "$.gloss_note")
     form = L.form_gate(l1, pos, gloss)
     reject = first_of(
@@ -146,9 +159,9 @@ def _untranslated(l1: str, text: Column) -> Column:
     return (X.word_count(text) >= 1) & L.looks_english(l1, text)
 
 
-def entry_l1(answer: Column, gloss_en: Column, examples: Column, note: Column, l1: str) -> Column:
+@reading
+def entry_l1(v: Column, gloss_en: Column, examples: Column, note: Column, l1: str) -> Column:
     """A translated entry: definition, as many examples as the card has, the note if it has one."""
-    v = X.json_object(answer)
     definition, own_note = text_of(v, "$.definition"), text_of(v, "$.usage_note")
     source_note = F.coalesce(note, F.lit(""))
     given = F.transform(list_of(v, "$.examples"), lambda x: text_of(x))
@@ -194,9 +207,9 @@ def in_order(items: Column, faults) -> Column:
     return F.try_element_at(F.array_compact(F.transform(items, faults)), F.lit(1))
 
 
-def cloze_shape(answer: Column) -> Column:
+@reading
+def cloze_shape(v: Column) -> Column:
     """struct<reject, questions>: three questions by difficulty, with four different options that hold the answer."""
-    v = X.json_object(answer)
     raw = list_of(v, "$.questions")
     bands = F.array(*[F.lit(b[0]) for b in dims.BANDS])
 
@@ -293,9 +306,9 @@ def cloze(units: DataFrame, levels: DataFrame, pos_codes: DataFrame, key: str =
     return out.withColumn("qa", verdict(reject, warnings, questions=questions)).drop("__s", "__early", "__bad", "__said", "__hard")
 
 
-def rationale(answer: Column, questions: Column, headword: Column, cefr: Column) -> Column:
+@reading
+def rationale(v: Column, questions: Column, headword: Column, cefr: Column) -> Column:
     """Hints and reasons for the options of three questions (seq, answer, options)."""
-    v = X.json_object(answer)
     raw = list_of(v, "$.questions")
     wrong = raw.isNull() | (F.size(raw) != dims.QUESTIONS)
 
@@ -360,9 +373,9 @@ def _translated(given: Column, sources: Column, l1: str, known: Column | None =
     return in_order(F.when(F.size(given) > 0, named), one)
 
 
-def translated_texts(answer: Column, path: str, sources: Column, l1: str, count_code: str, empty_code: str, same_code: str, known: Column | None = None) -> Column:
+@reading
+def translated_texts(v: Column, path: str, sources: Column, l1: str, count_code: str, empty_code: str, same_code: str, known: Column | None = None) -> Column:
     """Translations of a list of texts: as many, none empty, none left as it was."""
-    v = X.json_object(answer)
     raw = list_of(v, path)
     given = F.transform(raw, lambda x: text_of(x))
     wrong = raw.isNull() | (F.size(raw) != F.size(sources))
@@ -389,8 +402,8 @@ def rationale_l1(answer: Column, hints: Column, reasons: Column, options: Column
     return verdict(reject, listed(F.when(distinct_count(every) < F.size(every), "cevrilen_metinler_ayni")), hints=one["texts"], reasons=two["texts"])
 
 
-def catalog_l1(answer: Column, name_en: Column, short_en: Column, l1: str) -> Column:
-    v = X.json_object(answer)
+@reading
+def catalog_l1(v: Column, name_en: Column, short_en: Column, l1: str) -> Column:
     name, short = text_of(v, "$.name"), text_of(v, "$.short")
     same = (F.lower(name) == F.lower(X.collapse_ends(name_en))) & (F.lower(short) == F.lower(X.collapse_ends(short_en)))
     reject = first_of(F.when(~is_object(v) | v.isNull(), "cevap_json_degil"), F.when((name == "") | (short == ""), "bos_metin"), F.when(same, "ceviri_yapilmamis"), F.when(_untranslated(l1, name) | _untranslated(l1, short), "l1_ceviri_yapilmamis"))
@@ -402,9 +415,9 @@ def ranks_contiguous(ranks: Column) -> Column:
     return F.array_sort(ranks) == F.transform(F.sequence(F.lit(1), F.greatest(F.size(ranks), F.lit(1))), lambda x: x.cast("int"))
 
 
-def grammar_shape(answer: Column, sentences: Column) -> Column:
+@reading
+def grammar_shape(v: Column, sentences: Column) -> Column:
     """struct<reject, sentences>: a list of rules for each sentence (seq, ref, text, cefr_rank) of the group, in its order."""
-    v = X.json_object(answer)
     raw = list_of(v, "$.sentences")
     wrong = raw.isNull() | (F.size(raw) != F.size(sentences))
     whole = lambda x, path: F.when(kind(x, path) == "BIGINT", F.try_variant_get(x, path, "int")).when(kind(x, path) == "BOOLEAN", F.try_variant_get(x, path, "boolean").cast("int"))

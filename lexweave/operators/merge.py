@@ -23,8 +23,8 @@ def downloadable(registry: DataFrame) -> DataFrame:
 def judged(candidates: DataFrame, unicode: bool = True) -> DataFrame:
     """Adds head, pos, cefr_rank, and reason (null: accepted); candidates: headword, raw_pos, cefr, freq_rank, source, tier, source_order."""
     head = X.normalize_headword(F.col("headword"), unicode)
-    out = candidates.withColumn("head", head).withColumn("pos", X.normalize_pos(F.col("raw_pos"))).withColumn("cefr_rank", X.cefr_rank(F.col("cefr")))
-    return out.withColumn("reason", F.when(F.col("head").isNull(), "bos_headword").otherwise(X.reject_reason(F.col("head"))))
+    out = X.with_once(candidates, head=head, pos=X.normalize_pos(F.col("raw_pos")), cefr_rank=X.cefr_rank(F.col("cefr")))
+    return X.with_once(out, reason=F.when(F.col("head").isNull(), "bos_headword").otherwise(X.reject_reason(F.col("head"))))
 
 
 def unresolved(judged_rows: DataFrame) -> DataFrame:

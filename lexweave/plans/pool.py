@@ -43,7 +43,8 @@ def universe_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The most frequent acceptable words of core tiers, with their sources."""
     each = tokens(table(spark, sf_dir, "documents")).groupBy("word", "source").agg(F.count("*").alias("n"))
     words = each.groupBy("word").agg(F.sum("n").alias("freq"), F.min(source_number(F.col("source")) % 3 + 1).alias("tier"), F.array_sort(F.collect_set("source")).alias("sources"))
-    top = words.where(X.reject_reason(F.col("word")).isNull() & (F.col("tier") <= 2)).orderBy(F.desc("freq"), "word").limit(UNIVERSE_SIZE)
+    judged = X.with_once(words.where("tier <= 2"), reason=X.reject_reason(F.col("word")))  # distinct words, not tokens
+    top = judged.where("reason is null").orderBy(F.desc("freq"), "word").limit(UNIVERSE_SIZE)
     ranked = universe.dense_numbers(top, [F.desc("freq"), F.col("word")], "rank")  # over the bounded top only
     return ranked.select("word", F.col("freq").cast("long"), F.col("tier").cast("long"), F.concat_ws(",", "sources").alias("sources"), F.col("rank").cast("long"))
 
@@ -99,7 +100,7 @@ def reject_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every distinct rejected word of documents and part names, with why."""
     docs = tokens(table(spark, sf_dir, "documents"), "[^\\x20\\x09-\\x0D]+").select("word")
     parts = table(spark, sf_dir, "part").select(F.col("p_name").alias("word"))
-    words = docs.unionByName(parts).distinct().withColumn("reason", X.reject_reason(F.col("word")))
+    words = X.with_once(docs.unionByName(parts).distinct(), reason=X.reject_reason(F.col("word")))
     return words.where("reason is not null").select("word", "reason")
 
 
