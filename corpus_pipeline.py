@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexweave.llm import bpe, decontaminate, quality, secrets, simhash
+from lexweave.llm import bpe, decontaminate, nearcopies, quality, secrets, simhash
 from lexweave.llm.common import cut, fresh_dir, table
 
 #: Columns of documents.
@@ -27,9 +27,18 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document of the smallest id."""
-    docs = docs.select(COLUMNS)
-    found = cut(simhash.components(docs, spark), spark)
+    """Of each component of operator 10 (its own shingles and radius) the document of the smallest id; STAGES has keep_one_near_copy instead."""
+    return _one_each(spark, docs.select(COLUMNS), simhash.components(docs.select(COLUMNS), spark))
+
+
+def keep_one_near_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies (Jaccard 0.8 or more over five-word shingles) the document of the smallest id."""
+    return _one_each(spark, docs.select(COLUMNS), nearcopies.components(docs.select(COLUMNS), spark))
+
+
+def _one_each(spark: SparkSession, docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Of each component the document whose id is the component's."""
+    found = cut(found, spark)
     leaders = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("rows"))
     leaders = cut(leaders, spark)
     kept = docs.join(leaders.select(F.col("doc_id").alias("__id")), docs.doc_id.eqNullSafe(F.col("__id")), "left_semi")
@@ -64,13 +73,13 @@ def encode_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", keep_quality),
-    ("simhash near-dedup", keep_one_copy),
+    ("near-dedup", keep_one_near_copy),
     ("benchmark decontamination", drop_leaks),
     ("secret scan", redact_secrets),
     ("byte-level bpe", encode_ids),
 ]
 
-#: Scores, fingerprints, seeds and ids are beyond SQL; tests hold each stage against brute force.
+#: Scores, shingles, seeds and ids are beyond SQL; tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
