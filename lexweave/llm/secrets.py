@@ -46,7 +46,7 @@ KINDS = [
     Kind("hex", "[0-9a-f]{16,}", "secret", True),
     Kind("weak_id", "\\b(?:AKIA|ASIA|AROA|AIDA)[A-Z0-9]{6,}\\b", "id", False),
     Kind("weak_user", "\\b(?:user(?:name)?|login|client_?id|account)[\"']?\\x20*[:=]\\x20*[\"']?[A-Za-z0-9_.@-]{3,64}", "id", False),
-    Kind("weak_secret", "(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9a-z+/_-]*[A-Z])(?=[0-9A-Z+/_-]*[a-z])[A-Za-z0-9+/_-]{20,128}={0,2}(?![A-Za-z0-9+/_=-])", "secret", False),
+    Kind("weak_secret", "(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9a-z+/_-]*+[A-Z])(?=[0-9A-Z+/_-]*+[a-z])[A-Za-z0-9+/_-]{20,}+={0,2}(?![A-Za-z0-9+/_=-])", "secret", False),
     Kind("endpoint", "\\b(?:https?|postgres(?:ql)?|mysql|mongodb|redis|amqp|ftp|ssh)://[A-Za-z0-9._~:/@%?=&+-]{4,256}", "endpoint", False),
     Kind("weak_host", "\\b(?:host|hostname|server|endpoint)[\"']?\\x20*[:=]\\x20*[\"']?[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)+(?::[0-9]{2,5})?", "endpoint", False),
 ]
