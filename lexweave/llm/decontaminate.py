@@ -5,7 +5,9 @@ hashes some positions of a window and ignores the others, so a window matches a
 benchmark item's although words at ignored positions were replaced.  Hits are
 joined by hash, reduced to (text, item, offset) and verified: along that offset
 the longest stretch that begins and ends with equal words and has at least
-`similarity` equal words must reach `min_words` (or the whole item, if shorter).
+`similarity` equal words must reach `min_words` (or the whole item, if shorter), or
+hold that share of the whole item's words: replaced or missing words at the item's
+edges don't hide it.
 
 The benchmark is the stated query set.  It is handled in blocks of bounded size
 (`block_bytes` of text, so what is sent to the executors has a fixed bound), each
@@ -155,7 +157,8 @@ def _find_chunk(chunk: list, index: Index, min_words: int, similarity: float, ou
             first = max(0, -offset)
             last = min(len(item), len(own) - offset)
             matched, a, b = best_stretch(own[first + offset : last + offset] == item[first:last], similarity)
-            if b - a >= need and matched > best[0]:
+            # an item whose edge words were replaced has a shorter stretch, but is there as a whole
+            if (b - a >= need or matched >= similarity * len(item) - 1e-9) and matched > best[0]:
                 best = (matched, first + offset + a, first + offset + b, first + a)
         if best[0]:
             out[chunk[d][0]].append((index.items[k], best[1], best[2], best[3], best[0], len(item)))

@@ -71,3 +71,20 @@ def test_empty_tables_and_extra_columns(spark):
     assert d.matches(df, bench).collect() == []
     assert [tuple(r) for r in d.drop_contaminated(df, bench).collect()] == [(1, "a b c d e f", "x")]
     assert d.matches(df.limit(0), df.selectExpr("1L as item_id", "text")).collect() == []
+
+
+def test_replaced_edge_words_are_found(spark):
+    """Substitutions at an item's edges are as good as inner ones, down to the similarity."""
+    item = lambda n: [f"i{n}x{k}" for k in range(n)]
+    bench = spark.createDataFrame([(n, " ".join(item(n))) for n in range(5, 21)], "item_id long, text string")
+    rows, want = [], {}
+    for n in range(5, 21):
+        for first in range(3):
+            for last in range(3):
+                words = ["q"] * first + item(n)[first : n - last] + ["z"] * last
+                rows.append((len(rows), "before " + " ".join(words) + " after"))
+                equal = n - first - last
+                if 10 * equal >= 8 * n or equal >= 13:
+                    want[rows[-1][0]] = (n, equal)
+    got = {r.doc_id: (r.item_id, r.matched) for r in d.matches(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert got == want and len(want) > 60
