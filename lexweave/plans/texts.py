@@ -259,11 +259,11 @@ def normalize_headword_nfkc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mojibake_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts read by the wrong encoding, put right."""
-    docs = table(spark, sf_dir, "documents").where(F.col("text").rlike(r"^[\x00-\xFF]*$"))
+    """Texts read by the wrong encoding, put right; a null text stays null, unchanged and as before."""
+    docs = table(spark, sf_dir, "documents")
     broken = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
     fixed = X.repair_text(broken)
-    return docs.select("doc_id", fixed["changed"].alias("changed"), (fixed["text"] == F.col("text")).alias("as_before"))
+    return docs.select("doc_id", fixed["changed"].alias("changed"), fixed["text"].eqNullSafe(F.col("text")).alias("as_before"))
 
 
 QUERIES = {f.__name__: f for f in (
