@@ -223,10 +223,18 @@ def card_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def card_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with all their lines in order, and nations with theirs, as one row each."""
-    orders = table(spark, sf_dir, "orders").where("o_totalprice > 400000").select("o_orderkey", "o_orderstatus")
+    """Orders over a price, each with all its lines in order, as one row."""
+    return _with_lines(spark, sf_dir, table(spark, sf_dir, "orders").where("o_totalprice > 400000"))
+
+
+def card_detail_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order with all its lines in order, as one row."""
+    return _with_lines(spark, sf_dir, table(spark, sf_dir, "orders"))
+
+
+def _with_lines(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_linenumber").alias("seq"), "l_partkey")
-    out = views.with_parts(orders, "o_orderkey", lines=lines)
+    out = views.with_parts(orders.select("o_orderkey", "o_orderstatus"), "o_orderkey", lines=lines)
     return out.select("o_orderkey", "o_orderstatus", F.array_join(F.transform("lines", lambda x: F.concat_ws(":", x["seq"], x["l_partkey"])), ",").alias("lines"))
 
 
@@ -268,7 +276,7 @@ def mojibake_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     english_marker_hits, looks_english_not_l1, check_forms, split_sentences, inflected_forms, mentions_target, loose_same_word, copy_overlap, length_bands, blanked_sentences,
-    card_gate, correction_validation, review_export, card_list, card_detail, sentence_feed, scene_choice, fold_for_match, normalize_headword_nfkc, mojibake_repair,
+    card_gate, correction_validation, review_export, card_list, card_detail, card_detail_all, sentence_feed, scene_choice, fold_for_match, normalize_headword_nfkc, mojibake_repair,
 )}
 
 ORACLES = {
