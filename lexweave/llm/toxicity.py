@@ -33,21 +33,31 @@ from lexweave.llm.quality import labelled_sample
 
 WORD = re.compile(r"[^\W\d_]+")
 SHORTEST, LONGEST = 3, 5
-#: Longer words are scored by their first and last characters of this number.
-WORD_CHARS = 40
+#: Longer runs of letters are split into windows of this size, which overlap by half or more.
+WORD_CHARS = 80
 #: Distinct words whose margins a worker remembers.
 CACHE_WORDS = 400_000
 
 
 def distinct_words(text: str | None) -> list[str]:
-    return list(dict.fromkeys(WORD.findall((text or "").lower())))
+    words = dict.fromkeys(WORD.findall((text or "").lower()))
+    if not words or max(map(len, words)) <= WORD_CHARS:
+        return list(words)
+    return list(dict.fromkeys(part for w in words for part in windows(w)))
+
+
+def windows(word: str) -> list[str]:
+    """The word, or overlapping windows that hold all n-grams of a long one."""
+    if len(word) <= WORD_CHARS:
+        return [word]
+    last = len(word) - WORD_CHARS
+    return [word[at : at + WORD_CHARS] for at in [*range(0, last, WORD_CHARS // 2), last]]
 
 
 def grams(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """(rows of the embedding table of all words' character n-grams, the word each belongs to)."""
-    short = [w if len(w) <= 2 * WORD_CHARS else w[:WORD_CHARS] + w[-WORD_CHARS:] for w in words]
-    points = np.frombuffer("".join([f"<{w}>" for w in short]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    sizes = np.array([len(w) + 2 for w in short], np.int64)
+    points = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    sizes = np.array([len(w) + 2 for w in words], np.int64)
     owner = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
     room = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(points))  # characters up to the word's end
     rows, owners = [], []
@@ -102,7 +112,7 @@ class Model:
             return [0.5] * len(texts)
         out = []
         for at in range(0, len(texts), 512):
-            docs = [set(WORD.findall((t or "").lower())) for t in texts[at : at + 512]]
+            docs = [set(distinct_words(t)) for t in texts[at : at + 512]]
             known = self.learn(set().union(*docs))
             for words in docs:
                 m = np.array([0.0, *map(known.__getitem__, sorted(words))])

@@ -61,3 +61,14 @@ def test_spark_rows(spark):
     assert toxicity.score(odd.limit(0), model).collect() == []
     flat = toxicity.fit(docs, labels.where("toxic = 0"), F.lit(True))
     assert {r.score for r in toxicity.score(odd, flat).collect()} == {0.5}
+
+
+def test_the_middle_of_long_runs_counts():
+    train = made()
+    model = toxicity.train([toxicity.distinct_words(t) for _, t, _ in train], np.array([y for *_, y in train], float))
+    plain, insult = "kalomiter" * 100, "blorgface" * 20
+    clean, toxic = model.scores([plain * 2, plain + insult + plain])
+    assert toxic > clean + 0.1
+    run = "".join(chr(0x4E00 + i) for i in range(2000))
+    parts = toxicity.windows(run)
+    assert all(any(run[i : i + toxicity.LONGEST] in p for p in parts) for i in range(len(run) - toxicity.LONGEST + 1))
