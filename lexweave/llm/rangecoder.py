@@ -8,8 +8,8 @@ Model of an id, given the ids before it in its block: the order-2 and order-1
 contexts each propose the id they last saw, with a confidence.  Whether a proposal
 holds is coded with a mixture of two adaptive probabilities (one by the context's
 own confidence, one by the other order's), whose weight adapts too.  An id that
-no context proposed is coded by adaptive order-0 frequencies of its high part and
-then its low byte.  All arithmetic is in integers, so files read back alike
+no context proposed is coded by adaptive order-0 frequencies of its high part; its
+low `LOW_BITS` bits are coded evenly, not predicted.  All arithmetic is in integers, so files read back alike
 anywhere.
 
 File: magic, header, documents (ids and token counts, deflated), block table (ids,
