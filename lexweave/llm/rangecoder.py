@@ -8,12 +8,16 @@ Model of an id, given the ids before it in its block: the order-2 and order-1
 contexts each propose the id they last saw, with a confidence.  Whether a proposal
 holds is coded with a mixture of two adaptive probabilities (one by the context's
 own confidence, one by the other order's), whose weight adapts too.  An id that
-no context proposed is coded by adaptive order-0 frequencies of its high part; its
-low `LOW_BITS` bits are coded evenly, not predicted.  All arithmetic is in integers, so files read back alike
-anywhere.
+no context proposed is coded by order 0: ids are ranked by their frequency in the
+file and dealt to classes of about equal weight, so that each of the most frequent
+ones has a class to itself.  The class has adaptive frequencies in its block, the id
+has its frequency within the class.  All arithmetic is in integers, so files read
+back alike anywhere.
 
-File: magic, header, documents (ids and token counts, deflated), block table (ids,
-digits, CRC-32 of the payload), payloads, CRC-32 of everything before the payloads.
+File: magic, header, documents (ids and token counts) and the ids' rounded
+frequencies (both deflated), block table (ids, digits, CRC-32 of the payload),
+CRC-32 of everything so far, payloads.  The frequencies are the state that every
+block starts from; they are read with the header, so a block needs no other block.
 
 Defined results: a null text is the empty text, which has only the end id.
 Documents are written in ascending order of their id, null ids first, equal ids
@@ -24,14 +28,19 @@ and reads as no rows.
 from __future__ import annotations
 
 import functools
+import json
 import os
+import re
 import struct
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -39,15 +48,19 @@ from pyspark.sql import functions as F
 from lexweave.llm.bpe import gather_runs
 from lexweave.llm.common import file_system, fresh_dir, put_file
 
-MAGIC = b"IDMIX01\n"
+MAGIC = b"IDMIX02\n"
 #: Ids in a block; blocks coded side by side.
-BLOCK, LANES = 2048, 4096
-SLOTS = 512  # places for each order's proposals
-LOW_BITS = 10  # of an id's low part, which is coded evenly
-HIGH = 1 << (16 - LOW_BITS)  # high parts of ids under 65536
-HIGH_BITS = 22 - LOW_BITS  # of the frequencies of high parts
+BLOCK, LANES = 2048, 8192
+SLOTS = 256  # places for each order's proposals
+#: Order-0 classes of equal weight; ids in a class at most (more make further classes).
+EQUAL, WIDEST = 32, 2048
+CLASSES = EQUAL + (1 << 16) // WIDEST
+#: Bits of the frequencies of classes, and of ids within a class.
+CLASS_BITS, ID_BITS = 14, 14
+#: Weight of a block's first frequencies, and of each id that comes, in its class's count.
+START, GAIN = 3072, 24
 #: Chunks whose ids a worker remembers.
-CACHE_CHUNKS = 800_000
+CACHE_CHUNKS = 600_000
 #: Text bytes for one file, about.
 FILE_BYTES = 40 << 20
 #: Text bytes that are tokenised at a time.
@@ -55,15 +68,54 @@ PASS_BYTES = 4 << 20
 END_ID = 2
 
 
+class Order0:
+    """Ranks, classes and frequencies of ids within classes, from rounded frequencies that the file carries."""
+
+    def __init__(self, ids: np.ndarray, levels: np.ndarray):
+        """ids: distinct, ascending; levels: their rounded frequencies (see `level`)."""
+        order = np.argsort(-levels.astype(np.int64), kind="stable")
+        ids = ids.astype(np.int64)[order]
+        level = levels.astype(np.int64)[order]
+        weight = (8 + (level & 7)) << (level >> 3)
+        before = np.cumsum(weight) - weight
+        rank = np.arange(len(ids))
+        own = before * EQUAL // max(1, int(weight.sum())) + rank // WIDEST
+        first = np.flatnonzero(np.diff(own, prepend=-1))
+        size = np.diff(np.append(first, len(ids)))
+        number = np.repeat(np.arange(len(first)), size)
+        mass = np.add.reduceat(weight, first) if len(ids) else np.zeros(0, np.int64)
+        nth = rank - first[number]
+        start = (before - before[first][number]) * ((1 << ID_BITS) - size[number]) // mass[number] + nth
+        ends = np.append(start[1:], 1 << ID_BITS)
+        ends[np.append(first[1:], len(ids))[: len(first)] - 1] = 1 << ID_BITS
+        self.class_of, self.start_of, self.size_of = (np.zeros(1 << 16, np.int64) for _ in range(3))
+        self.class_of[ids], self.start_of[ids], self.size_of[ids] = number, start, ends - start
+        self.id_at = np.repeat(ids.astype(np.uint16), ends - start)  # by class and place within it
+        self.counts = np.ones(CLASSES, np.int32)
+        self.counts[: len(mass)] += (mass * START // max(1, int(mass.sum()))).astype(np.int32)
+
+
+def level(counts: np.ndarray) -> np.ndarray:
+    """Rounded frequencies: eight steps to each doubling, one byte."""
+    counts = counts.astype(np.int64) * 8
+    exponent = np.maximum(np.frexp(counts.astype(np.float64))[1] - 4, 0)
+    return (exponent * 8 + ((counts >> exponent) & 7)).astype(np.uint8)
+
+
+@functools.lru_cache(1)
+def even() -> Order0:
+    """Every id as frequent as the others."""
+    return Order0(np.arange(1 << 16), np.zeros(1 << 16, np.uint8))
+
+
 class Lanes:
     """Model of each lane; `odds` says how an id is coded next, `learn` takes the id in.
 
-    An id's share of the interval is counted in 2^34 parts: 2^12 parts are dealt
-    among the proposals and the rest, and the rest (2^22) is dealt by order-0
-    frequencies of the high part and evenly by the low part.
+    An id's share of the interval is counted in 2^40 parts: 2^12 parts are dealt
+    among the proposals and the rest, and the rest (2^28) is dealt by order 0.
     """
 
-    def __init__(self, n: int):
+    def __init__(self, n: int, order0: Order0):
         self.n = n
         self.lane = np.arange(n)
         self.cells = [np.zeros(n * SLOTS, np.int32) for _ in range(2)]  # proposed id * 16 + confidence
@@ -71,18 +123,21 @@ class Lanes:
         self.own = [np.full(n * 16, 2048, np.int32) for _ in range(2)]
         self.other = [np.full(n * 32, 2048, np.int32) for _ in range(2)]
         self.weight = [np.full(n * 16, 128, np.int32) for _ in range(2)]
-        self.counts = np.ones(n * HIGH, np.int32)
-        self.count_base = self.lane * HIGH
-        self.high_base = self.lane * (HIGH + 1)
-        self.steps = 0
+        self.counts = np.tile(order0.counts, n)
+        self.count_base = self.lane * CLASSES
+        self.class_base = self.lane * (CLASSES + 1)
+        self.steps, self.since = 0, []
         self.refresh()
         self.last = [np.zeros(n, np.int64), np.zeros(n, np.int64)]
 
     def refresh(self) -> None:
-        """Cumulative order-0 frequencies from the counts so far."""
-        total = np.cumsum(self.counts.reshape(self.n, HIGH), axis=1, dtype=np.int64)
-        cum = np.zeros((self.n, HIGH + 1), np.int32)
-        cum[:, 1:] = total * ((1 << HIGH_BITS) - HIGH) // total[:, -1:] + np.arange(1, HIGH + 1)
+        """Cumulative frequencies of classes from the counts so far."""
+        for places in self.since:
+            self.counts[places] += GAIN
+        self.since = []
+        total = np.cumsum(self.counts.reshape(self.n, CLASSES), axis=1, dtype=np.int64)
+        cum = np.zeros((self.n, CLASSES + 1), np.int16)
+        cum[:, 1:] = total * ((1 << CLASS_BITS) - CLASSES) // total[:, -1:] + np.arange(1, CLASSES + 1)
         self.cum = cum.ravel()
 
     def odds(self) -> None:
@@ -109,7 +164,7 @@ class Lanes:
             self.parts[k][at] = p if k == 0 else ((4096 - self.parts[0][at]) * p) >> 12
         self.proposed = self.parts[0] + self.parts[1]
 
-    def learn(self, ids: np.ndarray, hit: list[np.ndarray]) -> None:
+    def learn(self, ids: np.ndarray, classes: np.ndarray, hit: list[np.ndarray]) -> None:
         """hit[k]: whether proposal k was the one that held."""
         for k in (0, 1):
             at, (a, b, x, y, w) = self.use[k], self.seen[k]
@@ -123,10 +178,11 @@ class Lanes:
             self.weight[k][a] = np.minimum(np.maximum(w + np.where(good, x > y, x < y) * 4 - 2, 8), 248)
         fresh = ids.astype(np.int32) * 16 + 1
         for k in (0, 1):
-            cell = self.cell[k]
-            kept = cell + ((cell & 15) < 15)
-            self.cells[k][self.slots[k]] = np.where(self.guess[k] == ids, kept, fresh)
-        self.counts[self.count_base + (ids >> LOW_BITS)] += 24
+            self.cells[k][self.slots[k]] = fresh
+            same = np.flatnonzero(self.guess[k] == ids)
+            cell = self.cell[k][same]
+            self.cells[k][self.slots[k][same]] = cell + ((cell & 15) < 15)
+        self.since.append(self.count_base + classes)
         self.last = [ids, self.last[0]]
         self.steps += 1
         if self.steps in _REFRESH or not self.steps % 256:
@@ -134,37 +190,39 @@ class Lanes:
 
 
 _REFRESH = frozenset((8, 16, 32, 64, 128, 192))
-LOW = (1 << LOW_BITS) - 1
+REST = CLASS_BITS + ID_BITS
 #: The interval is at least 2^48 of 2^64 wide; what leaves it goes out in 16-bit digits.
-TOTAL, LEAST, DIGIT = np.uint64(34), np.uint64(1 << 48), np.uint64(16)
+TOTAL, LEAST, DIGIT = np.uint64(12 + REST), np.uint64(1 << 48), np.uint64(16)
 TOP = np.uint64(48)
 
 
-def encode_lanes(ids: np.ndarray) -> list[bytes]:
+def encode_lanes(ids: np.ndarray, order0: Order0 | None = None) -> list[bytes]:
     """ids: (steps, lanes), one block a lane. Payload of each block: big-endian 16-bit digits."""
     steps, n = ids.shape
-    state = Lanes(n)
+    order0 = order0 or even()
+    state = Lanes(n, order0)
     low, width = np.zeros(n, np.uint64), np.full(n, 2**64 - 1, np.uint64)
     place = np.zeros(n, np.int64)
-    out = np.zeros((steps + 64, n), np.int32)
+    out = np.zeros((steps // 2 + 64, n), np.int32)
     for step in range(steps):
         now = ids[step].astype(np.int64)
         state.odds()
-        high = state.high_base + (now >> LOW_BITS)
-        begin = state.cum.take(high).astype(np.int64)
-        size = state.cum.take(high + 1) - begin
+        classes = order0.class_of.take(now)
+        at = state.class_base + classes
+        begin = state.cum.take(at).astype(np.int64)
+        size = state.cum.take(at + 1) - begin
         rest = 4096 - state.proposed
-        cum = (state.proposed << 22) + ((begin << LOW_BITS) + (now & LOW) * size) * rest
-        size *= rest
+        cum = (state.proposed << REST) + ((begin << ID_BITS) + order0.start_of.take(now) * size) * rest
+        size *= rest * order0.size_of.take(now)
         hit = [np.zeros(n, bool), np.zeros(n, bool)]
         at = state.use[0]
         won = at[state.guess[0][at] == now[at]]
         hit[0][won] = True
-        cum[won], size[won] = 0, state.parts[0][won] << 22
+        cum[won], size[won] = 0, state.parts[0][won] << REST
         at = state.use[1]
         won = at[(state.guess[1][at] == now[at]) & ~hit[0][at]]
         hit[1][won] = True
-        cum[won], size[won] = state.parts[0][won] << 22, state.parts[1][won] << 22
+        cum[won], size[won] = state.parts[0][won] << REST, state.parts[1][won] << REST
         r = width >> TOTAL
         moved = low + r * cum.view(np.uint64)
         carry = np.flatnonzero(moved < low)
@@ -181,7 +239,7 @@ def encode_lanes(ids: np.ndarray) -> list[bytes]:
             low[need] <<= DIGIT
             width[need] <<= DIGIT
             need = need[width[need] < LEAST]
-        state.learn(now, hit)
+        state.learn(now, classes, hit)
     out = np.concatenate([out, np.zeros((5, n), np.int32)])
     for _ in range(4):
         out[place, state.lane] = (low >> TOP).astype(np.int32)
@@ -194,14 +252,15 @@ def encode_lanes(ids: np.ndarray) -> list[bytes]:
     return [digits[i, : place[i]].tobytes() for i in range(n)]
 
 
-def decode_lanes(payloads: list[bytes], steps: int) -> np.ndarray:
+def decode_lanes(payloads: list[bytes], steps: int, order0: Order0 | None = None) -> np.ndarray:
     """(steps, lanes) of ids: encode_lanes undone."""
     n = len(payloads)
     longest = max(len(p) for p in payloads) // 2
     digits = np.zeros((longest + 4, n), np.uint16)
     for i, p in enumerate(payloads):
         digits[: len(p) // 2, i] = np.frombuffer(p, ">u2")
-    state = Lanes(n)
+    order0 = order0 or even()
+    state = Lanes(n, order0)
     offset = np.zeros(n, np.uint64)
     for k in range(4):
         offset = (offset << DIGIT) | digits[k].astype(np.uint64)
@@ -211,28 +270,31 @@ def decode_lanes(payloads: list[bytes], steps: int) -> np.ndarray:
     for step in range(steps):
         state.odds()
         r = width >> TOTAL
-        value = np.minimum(offset // r, np.uint64((1 << 34) - 1)).view(np.int64)
-        top = value >> 22
+        value = np.minimum(offset // r, np.uint64((1 << (12 + REST)) - 1)).view(np.int64)
+        top = value >> REST
         hit = [top < state.parts[0], None]
         hit[1] = ~hit[0] & (top < state.proposed)
         rest = 4096 - state.proposed
-        inner = np.maximum(value - (state.proposed << 22), 0) // rest
-        part = inner >> LOW_BITS
-        high = state.high_base.copy()
-        bit = HIGH >> 1
-        while bit:
-            high += bit * (state.cum.take(high + bit) <= part)
-            bit >>= 1
-        begin = state.cum.take(high).astype(np.int64)
-        size = state.cum.take(high + 1) - begin
-        low = (inner - (begin << LOW_BITS)) // size
-        now = ((high - state.high_base) << LOW_BITS) | low
-        cum = (state.proposed << 22) + ((begin << LOW_BITS) + low * size) * rest
-        size *= rest
+        inner = np.maximum(value - (state.proposed << REST), 0) // rest
+        part = (inner >> ID_BITS).astype(np.int16)
+        at = state.class_base.copy()
+        half = CLASSES >> 1
+        while half:
+            at += half * (state.cum.take(at + half) <= part)
+            half >>= 1
+        begin = state.cum.take(at).astype(np.int64)
+        size = state.cum.take(at + 1) - begin
+        classes = at - state.class_base
+        now = order0.id_at.take((classes << ID_BITS) + (inner - (begin << ID_BITS)) // size, mode="clip").astype(np.int64)
         won = np.flatnonzero(hit[0])
-        now[won], cum[won], size[won] = state.guess[0][won], 0, state.parts[0][won] << 22
-        won = np.flatnonzero(hit[1])
-        now[won], cum[won], size[won] = state.guess[1][won], state.parts[0][won] << 22, state.parts[1][won] << 22
+        now[won] = state.guess[0][won]
+        other = np.flatnonzero(hit[1])
+        now[other] = state.guess[1][other]
+        cum = (state.proposed << REST) + ((begin << ID_BITS) + order0.start_of.take(now) * size) * rest
+        size *= rest * order0.size_of.take(now)
+        cum[won], size[won] = 0, state.parts[0][won] << REST
+        cum[other], size[other] = state.parts[0][other] << REST, state.parts[1][other] << REST
+        classes = order0.class_of.take(now)
         offset = offset - r * cum.view(np.uint64)
         width = r * size.view(np.uint64)
         need = np.flatnonzero(width < LEAST)
@@ -242,7 +304,7 @@ def decode_lanes(payloads: list[bytes], steps: int) -> np.ndarray:
             width[need] <<= DIGIT
             need = need[width[need] < LEAST]
         out[step] = now
-        state.learn(now, hit)
+        state.learn(now, classes, hit)
     return out
 
 
@@ -252,14 +314,18 @@ def pack_file(doc_ids: list[int | None], sizes: np.ndarray, ids: np.ndarray) ->
         raise ValueError("ids must be under 65536")
     known = np.array([x is not None for x in doc_ids], np.uint8)
     numbers = np.array([x or 0 for x in doc_ids], "<i8")
-    documents = zlib.compress(known.tobytes() + numbers.tobytes() + sizes.astype("<i8").tobytes(), 6)
+    counts = np.bincount(ids, minlength=1 << 16)
+    present = np.flatnonzero(counts)
+    levels = level(counts[present])
+    order0 = Order0(present, levels)
+    documents = zlib.compress(known.tobytes() + numbers.tobytes() + sizes.astype("<i8").tobytes() + np.diff(present, prepend=0).astype("<u2").tobytes() + levels.tobytes(), 6)
     blocks = -(-len(ids) // BLOCK)
-    padded = np.zeros(blocks * BLOCK, np.uint16)
+    padded = np.full(blocks * BLOCK, present[0] if len(present) else 0, np.uint16)
     padded[: len(ids)] = ids
     padded = padded.reshape(blocks, BLOCK)
     payloads: list[bytes] = []
     for at in range(0, blocks, LANES):
-        payloads += encode_lanes(np.ascontiguousarray(padded[at : at + LANES].T))
+        payloads += encode_lanes(np.ascontiguousarray(padded[at : at + LANES].T), order0)
     counts = [min(BLOCK, len(ids) - at) for at in range(0, len(ids), BLOCK)]
     table = b"".join(struct.pack("<III", n, len(p), zlib.crc32(p)) for n, p in zip(counts, payloads))
     head = MAGIC + struct.pack("<QQIII", len(doc_ids), len(ids), BLOCK, blocks, len(documents)) + documents + table
@@ -279,6 +345,9 @@ def unpack_file(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     known = np.frombuffer(body, np.uint8, docs)
     numbers = np.frombuffer(body, "<i8", docs, docs)
     sizes = np.frombuffer(body, "<i8", docs, 9 * docs).astype(np.int64)
+    distinct = (len(body) - 17 * docs) // 3
+    present = np.cumsum(np.frombuffer(body, "<u2", distinct, 17 * docs).astype(np.int64))
+    order0 = Order0(present, np.frombuffer(body, np.uint8, distinct, 17 * docs + 2 * distinct))
     out = np.empty(blocks * block, np.uint16)
     payloads, place = [], end + 4
     for i in range(blocks):
@@ -290,112 +359,141 @@ def unpack_file(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
         place += length
     for first in range(0, blocks, LANES):
         part = payloads[first : first + LANES]
-        out[first * block : (first + len(part)) * block] = decode_lanes(part, block).T.ravel()
+        out[first * block : (first + len(part)) * block] = decode_lanes(part, block, order0).T.ravel()
     return [int(x) if k else None for k, x in zip(known, numbers)], sizes, out[:total]
 
 
-class Chunks(dict):
-    """White-space-free chunk of a text -> row of a table of its ids.
-
-    The tokenizer folds case, drops white space and joins nothing across it, so a
-    text's ids are its chunks' ids, and the library sees each distinct chunk once
-    while it is remembered.  Two more rules save calls: a chunk that ends in one
-    stop after a letter is that letter word and the stop, which the tokenizer
-    always parts; and words of letters alone are encoded many to a call, since
-    each is one word to the tokenizer, whose last id is marked as a word's end.
+#: Characters whose class is the same in every Unicode version, and that normalising leaves alone.
+PLAIN = [chr(c) for c in [*range(0x21, 0x7F), *range(0xA1, 0x130)]]
+LETTERS = "".join(c for c in PLAIN if unicodedata.category(c)[0] == "L")
+DIGITS = "".join(c for c in PLAIN if unicodedata.category(c)[0] == "N")
+_PLAIN = re.compile("[!-~\xa1-\u012f]+")
+#: PIECE for chunks of plain characters, which line breaks end.
+_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|\n|[^{LETTERS}{DIGITS}\n]+")
+
+# Fixed value: the pattern by which this tokenizer parts a text.
+PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+# How such a tokenizer prepares a text before its merges.
+LAYOUT = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": PIECE}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
+
+def byte_characters() -> dict[int, str]:
+    """The character that stands for each byte: itself if it is printable, else the next one from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [x for x in range(256) if x not in set(shown)]
+    return {**{x: chr(x) for x in shown}, **{x: chr(256 + i) for i, x in enumerate(other)}}
+
+
+class Chunks:
+    """Ids of texts from the tokenizers library, which is asked once for what comes again.
+
+    A tokenizer of the known `LAYOUT` folds case, drops white space and joins nothing
+    across it.  So a text is split into chunks without white space, a plain chunk into
+    the pieces of the layout's pattern, and the library's model merges each distinct
+    piece once while it is remembered; other chunks go through the whole tokenizer.
+    Texts that hold a special token's string, and all texts of another tokenizer, are
+    encoded whole.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
-        # the saving rules hold for this kind of tokenizer only; others are asked chunk by chunk
-        self.marked = self._ids(["ab cd, ab"]) == [self._ids(["ab"])[0] + self._ids(["cd"])[0] + self._ids([","])[0] + self._ids(["ab"])[0]] and self._ids(["AB"]) == self._ids(["ab"])
-        marks = {m: self._ids([m])[0] for m in ".,;:!?"}
-        self.stops = {m: ids[0] for m, ids in marks.items() if len(ids) == 1}
+        made = json.loads(self.tokenizer.to_str())
+        self.known = all(made[k] == v for k, v in LAYOUT.items()) and made["post_processor"] is None and not made["truncation"] and not made["padding"]
+        self.special = [t["content"].lower().encode() for t in made["added_tokens"]]
+        self.known &= not any(t.split() != [t] for t in self.special)
+        self.model = self.tokenizer.model
+        self.characters = byte_characters()
         self.forget()
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def forget(self) -> None:
-        self.clear()
-        self.flat, self.offsets, self.pending = np.zeros(0, np.uint32), np.zeros(1, np.int64), []
-
-    def __missing__(self, chunk: bytes) -> int:
-        row = len(self.offsets) - 1 + len(self.pending)
-        self.pending.append(chunk)
-        if len(chunk) <= 128:
-            self[chunk] = row
-        return row
-
-    def _settle(self) -> None:
-        """Rows of pending chunks, in their order of coming."""
-        pending, self.pending = self.pending, []
-        number: dict[str, int] = {}
-        word = np.full(len(pending), -1, np.int64)
-        stop = np.full(len(pending), -1, np.int64)
-        other, texts = [], []
-        for i, chunk in enumerate(pending):
-            text = chunk.decode("utf-8", "replace")
-            if self.marked and text.lower().isalpha():
-                word[i] = number.setdefault(text, len(number))
-            elif self.marked and text[-1] in self.stops and text[:-1].lower().isalpha():
-                word[i] = number.setdefault(text[:-1], len(number))
-                stop[i] = self.stops[text[-1]]
-            else:
-                other.append(i)
-                texts.append(text)
-        ids, sizes = self._words(list(number))
+        """Drops what is remembered: chunk -> row, and the rows' ids end to end."""
+        self.rows: dict[str, int] = {}
+        self.flat, self.offsets = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.pieces: dict[str, int] = {"\n": 0}  # ends a chunk and has no ids
+        self.piece_ids, self.piece_sizes = array("I"), array("q", [0])
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Numbers and ids of pieces that come first."""
+        first = len(self.pieces)
+        self.pieces.update(zip(pieces, range(first, first + len(pieces))))
+        shown = "\n".join(pieces).lower().encode().decode("latin-1").translate(self.characters)
+        tokenize, ids, sizes = self.model.tokenize, self.piece_ids, self.piece_sizes
+        for piece in shown.split(self.characters[10]) if pieces else ():
+            before = len(ids)
+            ids.extend([t.id for t in tokenize(piece)])
+            sizes.append(len(ids) - before)
+
+    def _add(self, chunks: list[str]) -> None:
+        """New rows for these chunks, in their order."""
+        if not chunks:
+            return
+        plain = [c.isascii() and c.isprintable() or _PLAIN.fullmatch(c) is not None for c in chunks]
+        # a plain chunk's pieces, up to the line break that ends it
+        found = _PIECE.findall("\n".join([c for c, p in zip(chunks, plain) if p] + [""]))
+        self._learn([p for p in dict.fromkeys(found) if p not in self.pieces])
+        numbers = np.fromiter(map(self.pieces.__getitem__, found), np.int64, len(found))
+        table, sizes = np.array(self.piece_ids, np.uint32), np.array(self.piece_sizes, np.int64)
         begin = np.cumsum(sizes) - sizes
-        rest = self._ids(texts) if texts else []
-        rest_sizes = np.fromiter(map(len, rest), np.int64, len(rest))
-        pool = np.concatenate([ids, np.array([x for got in rest for x in got], np.uint32)])
-        at, counts = np.zeros(len(pending), np.int64), np.zeros(len(pending), np.int64)
-        plain = word >= 0
-        at[plain], counts[plain] = begin[word[plain]], sizes[word[plain]]
-        at[other], counts[other] = len(ids) + np.cumsum(rest_sizes) - rest_sizes, rest_sizes
-        flat, marked = gather_runs(pool, at, counts), np.flatnonzero(stop >= 0)
-        flat = np.insert(flat, np.cumsum(counts)[marked], stop[marked])
-        counts[marked] += 1
-        self.flat = np.concatenate([self.flat, flat.astype(np.uint32)])
+        upto = np.cumsum(sizes[numbers])
+        counts = np.zeros(len(chunks), np.int64)
+        counts[np.flatnonzero(plain)] = np.diff(upto[numbers == 0], prepend=0)
+        flat = gather_runs(table, begin[numbers], sizes[numbers])
+        odd = np.flatnonzero(~np.array(plain, bool))
+        if len(odd):
+            own = self._ids([chunks[i] for i in odd])
+            counts[odd] = [len(x) for x in own]
+            whole = np.empty(int(counts.sum()), np.uint32)
+            of_odd = np.repeat(~np.array(plain, bool), counts)
+            whole[~of_odd], whole[of_odd] = flat, np.fromiter(chain.from_iterable(own), np.uint32)
+            flat = whole
+        first = len(self.offsets) - 1
+        self.rows.update(zip(chunks, range(first, first + len(chunks))))
+        self.flat = np.concatenate([self.flat, flat])
         self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(counts)])
 
-    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of words of letters alone end to end, ids of each), many words to a call."""
-        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
-        for at in range(0, len(words), 20_000):
-            part = words[at : at + 20_000]
-            got = np.array(list(chain.from_iterable(self._ids([" ".join(part[k : k + 100]) for k in range(0, len(part), 100)]))), np.uint32)
-            cuts = np.flatnonzero(self.ends[got]) + 1
-            if len(cuts) == len(part) and cuts[-1] == len(got):
-                own = np.diff(cuts, prepend=0)
-            else:  # some word is more than one to the tokenizer
-                each = self._ids(part)
-                got, own = np.array(list(chain.from_iterable(each)), np.uint32), np.fromiter(map(len, each), np.int64, len(each))
-            ids.append(got), sizes.append(own)
-        return np.concatenate(ids), np.concatenate(sizes)
-
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end id; ids of each text)."""
-        if len(self) > CACHE_CHUNKS:
+        if len(self.rows) > CACHE_CHUNKS or len(self.pieces) > CACHE_CHUNKS:
             self.forget()
-        chunks = [(t.lower() if self.marked else t).split() for t in texts]
-        sizes = np.array([len(c) for c in chunks], np.int64)
-        rows = np.fromiter(map(self.__getitem__, chain.from_iterable(chunks)), np.int64, int(sizes.sum()))
-        if self.pending:
-            self._settle()
+        lower = pc.ascii_lower(pa.array(texts, pa.binary()).cast(pa.string()))
+        whole = np.ones(len(texts), bool)
+        if self.known:
+            whole[:] = False
+            for token in self.special:
+                whole |= pc.match_substring(lower, token.decode()).to_numpy(zero_copy_only=False)
+        parts = pc.ascii_split_whitespace(pc.if_else(pa.array(whole), "", lower))
+        words = parts.values.dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        rows = np.fromiter(map(self.rows.get, distinct, repeat(-1)), np.int64, len(distinct))
+        new = np.flatnonzero(rows < 0)
+        rows[new] = len(self.offsets) - 1 + np.arange(len(new))
+        self._add([distinct[i] for i in new.tolist()])
+        rows = rows[words.indices.to_numpy()] if len(rows) else np.zeros(0, np.int64)
         begin, counts = self.offsets[rows], np.diff(self.offsets)[rows]
-        first = np.cumsum(sizes) - sizes
-        upto = np.concatenate([[0], np.cumsum(counts)])
-        own = upto[first + sizes] - upto[first]
         ids = gather_runs(self.flat, begin, counts)
+        upto = np.concatenate([[0], np.cumsum(counts)])[parts.offsets.to_numpy()]
+        own = np.diff(upto)
+        if whole.any():
+            at = np.flatnonzero(whole)
+            made = self._ids([texts[i].decode("utf-8", "replace") for i in at])
+            ids = np.insert(ids, np.repeat(upto[at], [len(x) for x in made]), np.fromiter(chain.from_iterable(made), np.uint32))
+            own[at] = [len(x) for x in made]
         return np.insert(ids, np.cumsum(own), END_ID), own + 1
 
 

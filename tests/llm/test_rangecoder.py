@@ -76,3 +76,43 @@ def test_query_rows(spark):
         assert sorted(((r.doc_id, r.start, r.n_tokens, zlib.crc32(r.token_ids)) for r in got), key=lambda r: r[1]) == want
     empty = rc.read(spark, rc.write(df.limit(0), spark))
     assert empty.collect() == []
+
+
+def test_special_tokens_are_the_library_s(spark):
+    """The library as it is, without any flag: its special tokens' strings are those tokens."""
+    t = Tokenizer.from_file(PATH)
+    sample = ["hello <|endoftext|> there", "<|startoftext|>x<|endoftext|>", "<|ENDOFTEXT|> is no token", "a<|endoftext |>", "<|endoftext|>" * 3, "plain", "É<|endoftext|>é \x85\xa0 İx"]
+    ids, sizes = rc.Chunks(PATH).encode([x.encode() for x in sample])
+    ends = np.cumsum(sizes)
+    for x, a, b in zip(sample, ends - sizes, ends):
+        assert ids[a:b].tolist() == t.encode(x, add_special_tokens=False).ids + [2]
+    rows = rc.read(spark, rc.write(spark.createDataFrame(list(enumerate(sample)), "doc_id long, text string"), spark)).collect()
+    assert {r.doc_id: np.frombuffer(r.token_ids, "<u4").tolist() for r in rows} == {i: t.encode(x, add_special_tokens=False).ids + [2] for i, x in enumerate(sample)}
+
+
+def test_other_tokenizers_are_asked_for_whole_texts():
+    path = P.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    sample = ["A  b\n c's", "", " x y", "É ü"]
+    ids, sizes = rc.Chunks(path).encode([x.encode() for x in sample])
+    assert ids.tolist() == [i for x in sample for i in [*t.encode(x, add_special_tokens=False).ids, 2]] and sizes.sum() == len(ids)
+
+
+def test_every_plain_character_is_parted_as_by_the_library():
+    t = Tokenizer.from_file(PATH)
+    every = [chr(c) for c in range(1, 0x300)]
+    sample = [f"a{c}b {c} {c}{c}1" for c in every]
+    ids, sizes = rc.Chunks(PATH).encode([x.encode() for x in sample])
+    ends = np.cumsum(sizes)
+    for x, a, b in zip(sample, ends - sizes, ends):
+        assert ids[a:b].tolist() == t.encode(x, add_special_tokens=False).ids + [2], x
+
+
+def test_order_0_predicts_whole_ids():
+    rnd = np.random.default_rng(5)
+    ids = rnd.choice(np.arange(100, 40000, 97), 60000, p=(w := 1 / np.arange(1, 413) ** 1.2) / w.sum())
+    p = np.bincount(ids) / len(ids)
+    entropy = -(p[p > 0] * np.log2(p[p > 0])).sum()
+    data = rc.pack_file([1], np.array([len(ids)]), ids)
+    assert len(data) * 8 / len(ids) < entropy + 0.6
+    assert (rc.unpack_file(data)[2] == ids).all()
