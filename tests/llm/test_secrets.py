@@ -91,3 +91,41 @@ def test_values_after_signs_and_long_tokens(spark):
         assert (at, 5, at + len(value), "weak_secret") in spans[i]
     for r in secrets.redact(secrets.scan(df)).collect():
         assert values[r.doc_id] not in r.text and "[secret]" in r.text
+
+
+def test_nothing_has_an_upper_bound(spark):
+    user, url = "x" * 100, "https://db.example.com/" + "p" * 300 + "password-tail"
+    secret = "aB3" * 46
+    texts = [f"user={user} {secret}", f"user=bob1 {secret} {url}", "host: " + "a." * 6000 + "com user=bob1 " + secret]
+    spans = {r.doc_id: [(s.kind, s.end - s.start) for s in r.spans] for r in secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert spans[0] == [("weak_user", 105), ("weak_secret", 138)]
+    assert spans[1] == [("weak_user", 9), ("weak_secret", 138), ("endpoint", len(url))]
+    assert spans[2] == [("weak_host", 12009), ("weak_user", 9), ("weak_secret", 138)]
+
+
+def test_runs_of_a_million_characters(spark):
+    n = 1_000_000
+    runs = ["host=" + "a." * (n // 2), "https://" + "a" * n, "user=" + "x" * n, "AKIA" + "A" * n, "aB3" * (n // 3) + "=", "password" + " " * n + "=", "f" * n, "password=" * (n // 9), "host=a" + "." * n, "AKIA" * (n // 4), "ASIA" + "Q" * n + "_", "é" * n]
+    tail = "\nuser=bob1 " + "aB3dE5gH7jK9mN1pQ3sT5"
+    df = spark.createDataFrame([(i, r + " " * 200 + tail) for i, r in enumerate(runs)], "doc_id long, text string").repartition(4)
+    marked = secrets.redact(secrets.scan(df))
+    for r in marked.collect():
+        assert r.text.endswith("\n[secret] [secret]") and {"weak_user", "weak_secret"} <= {s.kind for s in r.spans}
+
+
+def test_redaction_of_many_spans_is_as_one_by_one(spark):
+    rnd = random.Random(9)
+    rows = []
+    for i in range(40):
+        text = "".join(rnd.choice("abé中\U0001F600 ") for _ in range(rnd.randrange(1, 400)))
+        spans = sorted((a := rnd.randrange(len(text)), rnd.randrange(9), rnd.randrange(a + 1, len(text) + 1) if rnd.random() < 0.1 else min(len(text), a + rnd.randrange(1, 6)), "k") for _ in range(rnd.randrange(0, 60)))
+        rows.append((i, text, spans))
+    df = spark.createDataFrame(rows, "doc_id long, text string, spans array<struct<start:int,order:int,end:int,kind:string>>")
+    got = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    for i, text, spans in rows:
+        out, at = "", 0
+        for start, _, end, _ in spans:
+            if start >= at:
+                out += text[at:start] + "[secret]"
+            at = max(at, end)
+        assert got[i] == (out + text[at:] if spans else text)
