@@ -13,7 +13,7 @@ distinct words only.  Training is full-batch Adam from a fixed seed.
 
 Defined results: a null text is the empty text; a text without words gets the
 bias alone.  Without labels of both kinds every score is 0.5, predicted 1.  Repeated
-rows get equal scores.  Labels other than 0 and 1 and labels of unknown ids are
+rows get equal scores, rows of equal or null ids each their own.  Labels other than 0 and 1 and labels of unknown ids are
 ignored.  An empty table gives an empty table.
 """
 
@@ -31,7 +31,8 @@ from pyspark.sql import types as T
 from lexweave.llm.common import append_columns
 from lexweave.llm.quality import labelled_sample
 
-WORD = re.compile(r"[^\W\d_]+")
+#: Letters and digits, and signs that stand in for letters within a word or before it.
+WORD = re.compile(r"[@$]?[^\W_]+(?:[@$!*#%&+|]+[^\W_]+)*")
 SHORTEST, LONGEST = 3, 5
 #: Longer runs of letters are split into windows of this size, which overlap by half or more.
 WORD_CHARS = 80

@@ -33,6 +33,41 @@ def test_misspellings_held_out():
     assert np.mean(got == [y for *_, y in test]) > 0.95
 
 
+def test_signs_and_digits_in_words_share_grams():
+    assert toxicity.distinct_words("An 1d10t, id!ot! $nob b*tter. #tag 50%") == ["an", "1d10t", "id!ot", "$nob", "b*tter", "tag", "50"]
+    rows, owner = toxicity.grams(["blorgface", "bl0rgface", "blorgf@ce"], 1 << 16)
+    mine = [set(rows[owner == k].tolist()) for k in range(3)]
+    assert len(mine[0] & mine[1]) >= 12 and len(mine[0] & mine[2]) >= 12
+    model = toxicity.train([toxicity.distinct_words(t) for _, t, _ in made()], np.array([y for *_, y in made()], float))
+    plain, bent = model.scores(["kalo mi teran osvel", "kalo mi bl0rgf4ce teran osvel"])
+    assert bent > plain + 0.2
+
+
+def test_training_follows_the_gradient():
+    """The loss of a slow, word-by-word forward pass falls along the training, and its numeric slope has the sign of the move."""
+    docs = [["aaa", "bbb"], ["ccc"], ["aaa", "ddd"], ["eee", "ccc"]]
+    y = np.array([1.0, 0.0, 1.0, 0.0])
+
+    def loss(model):
+        total = 0.0
+        for words, label in zip(docs, y):
+            margins = []
+            for w in words:
+                rows, _ = toxicity.grams([w], len(model.table))
+                bag = sum(model.table[r] for r in rows) / len(rows)
+                logits = [float(bag @ model.softmax[:, c]) for c in (0, 1)]
+                margins.append(logits[1] - logits[0])
+            z = model.bias + np.log(1 + sum(np.exp(m) for m in margins))
+            total -= np.log(1 / (1 + np.exp(-z))) if label else np.log(1 / (1 + np.exp(z)))
+        return total
+
+    seen = [loss(toxicity.train(docs, y, buckets=512, size=3, rounds=r)) for r in (1, 5, 20, 70)]
+    assert seen == sorted(seen, reverse=True) and seen[-1] < 0.2
+    one = toxicity.train(docs, y, buckets=512, size=3, rounds=1, rate=1e-4)
+    two = toxicity.train(docs, y, buckets=512, size=3, rounds=2, rate=1e-4)
+    assert loss(two) < loss(one)
+
+
 def test_gram_rows_agree_with_a_loop():
     rows, owner = toxicity.grams(["ab", "abc", "zab"], 1 << 16)
     mine = [set(rows[owner == k].tolist()) for k in range(3)]
