@@ -31,6 +31,8 @@ def shared_dir(spark: SparkSession) -> str:
     own = sc._jsc.sc().getCheckpointDir()
     if own.isDefined():
         return own.get()
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     folder = tempfile.mkdtemp(prefix="lexweave-shared-")
     sc.setCheckpointDir("file://" + folder)
     return "file://" + folder
@@ -77,12 +79,15 @@ def put_file(uri: str, payload: bytes) -> None:
 
 def append_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], list[pa.Array]], text: str, keep: list[str], added: list[tuple[str, T.DataType, pa.DataType]]) -> DataFrame:
     """Arrow map: fn gets a batch whose column 'text' is the text; its arrays are appended to `keep`."""
-    slim = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
+    own = "__text"
+    while own in keep:
+        own += "_"
+    slim = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias(own))
     schema = T.StructType([slim.schema[c] for c in keep] + [T.StructField(n, t) for n, t, _ in added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("__text"))
+            texts = batch.column(len(keep))
             arrays = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays(arrays + fn(texts), names=keep + [n for n, _, _ in added])
 
