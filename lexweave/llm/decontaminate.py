@@ -88,8 +88,8 @@ class Index:
         self.hashes, self.owners, self.places = h[order], np.concatenate(owners)[order], np.concatenate(places)[order]
 
 
-def best_stretch(equal: np.ndarray, similarity: float) -> tuple[int, int, int]:
-    """(equal words, start, end) of the longest stretch between equal words with at least that share of them."""
+def best_stretch(equal: np.ndarray, similarity: float, need: int = 1) -> tuple[int, int, int]:
+    """(equal words, start, end) of the stretch of at least `need` words between equal words, with that share of them or more, that has most."""
     hits = np.flatnonzero(equal)
     if not len(hits):
         return 0, 0, 0
@@ -106,7 +106,8 @@ def best_stretch(equal: np.ndarray, similarity: float) -> tuple[int, int, int]:
         k = j
         while k > i and after[k] < before[i] - 1e-9:
             k -= 1
-        if k - i + 1 > best[0]:
+        # of the stretches from hit i this one is the longest and has most equal words
+        if k - i + 1 > best[0] and hits[k] - hits[i] + 1 >= need:
             best = (k - i + 1, int(hits[i]), int(hits[k]) + 1)
     return best
 
@@ -156,9 +157,13 @@ def _find_chunk(chunk: list, index: Index, min_words: int, similarity: float, ou
         for offset in sorted(offsets):
             first = max(0, -offset)
             last = min(len(item), len(own) - offset)
-            matched, a, b = best_stretch(own[first + offset : last + offset] == item[first:last], similarity)
+            equal = own[first + offset : last + offset] == item[first:last]
+            matched, a, b = best_stretch(equal, similarity, need)
             # an item whose edge words were replaced has a shorter stretch, but is there as a whole
-            if (b - a >= need or matched >= similarity * len(item) - 1e-9) and matched > best[0]:
+            whole = best_stretch(equal, similarity) if equal.sum() >= similarity * len(item) - 1e-9 else (0, 0, 0)
+            if whole[0] > matched and whole[0] >= similarity * len(item) - 1e-9:
+                matched, a, b = whole
+            if matched > best[0]:
                 best = (matched, first + offset + a, first + offset + b, first + a)
         if best[0]:
             out[chunk[d][0]].append((index.items[k], best[1], best[2], best[3], best[0], len(item)))

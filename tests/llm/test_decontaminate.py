@@ -88,3 +88,23 @@ def test_replaced_edge_words_are_found(spark):
                     want[rows[-1][0]] = (n, equal)
     got = {r.doc_id: (r.item_id, r.matched) for r in d.matches(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
     assert got == want and len(want) > 60
+
+
+def test_a_denser_stretch_hides_no_longer_one(spark):
+    """12 equal words in a row, a break, and 11 equal of 13: the second stretch counts, whatever the first one has."""
+    item = [f"i{k}" for k in range(60)]
+    far = ["q"] * 20
+    late = item[32:45]
+    late[4] = late[8] = "z"
+    texts = [item[:12] + far + late, ["n"] * 12 + far + late, item[:12] + far + ["n"] * 13]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: (r.matched, r.item_start) for r in d.matches(spark.createDataFrame(list(enumerate(" ".join(t) for t in texts)), "doc_id long, text string"), bench).collect()}
+    assert got == {0: (11, 32), 1: (11, 32)}
+
+
+def test_two_separate_stretches_agree_with_brute_force():
+    rnd = random.Random(12)
+    for _ in range(300):
+        equal = np.array([rnd.random() < rnd.choice([0.95, 0.3]) for _ in range(14)] + [False] * rnd.randrange(3, 12) + [rnd.random() < 0.86 for _ in range(rnd.randrange(8, 20))])
+        want = max((int(equal[a:b].sum()) for a in range(len(equal)) for b in range(a + 13, len(equal) + 1) if equal[a] and equal[b - 1] and equal[a:b].sum() >= 0.8 * (b - a) - 1e-9), default=0)
+        assert d.best_stretch(equal, 0.8, 13)[0] == want
