@@ -7,11 +7,15 @@ global order of the shingles, the first n - ceil(t n) + 1 of each share one.  So
 pair is missed, whatever the order; ours puts shingles that are frequent in a sample
 last, since they would make large groups.
 
-Groups of a prefix shingle are handled in two rounds.  The first verifies neighbours
-by size, one pair a class at most, which links clusters of copies.  The second
-takes the pairs whose classes are still apart, and drops those that can't reach the
-similarity by their sizes or by parity bitmaps (two sets differ in at least as many
-elements as their bitmaps do in bits).  What is left is verified on the whole sets.
+Links come in three rounds, and all are verified on the whole sets.  The first takes
+the links of operator 10 (SimHash fingerprints of the same shingles under covering
+masks; its radius holds nearly equal texts only, about 0.95).  The others look for pairs
+in the groups of a prefix shingle, of classes that are still apart, and drop in place
+those that can't reach the similarity by their sizes or by parity bitmaps of a bit or
+two for each shingle (two sets differ in at least as many elements as their bitmaps do in
+bits).  The second round takes, of pairs well within the bound, no more than join the
+group's components, so that clusters of copies make few pairs; the third takes all
+that are left, whose classes no verified link joins.
 
 Defined results: a null text is the empty text; texts without words are one class.
 Rows with equal or null ids are kept, each with its class's component; component_id
@@ -31,10 +35,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexweave.llm.common import append_columns, cut
+from lexweave.llm import simhash
+from lexweave.llm.common import append_columns, cut, text_chunks
 from lexweave.llm.graph import connected_components
 
-#: 64-bit words of a parity bitmap.
+#: 64-bit words of the shortest parity bitmap.
 BITMAP = 4
 #: Documents, about, in which frequent shingles are looked for; an order is all that depends on it.
 SAMPLE_ROWS = 5_000
@@ -42,6 +47,14 @@ SAMPLE_ROWS = 5_000
 SAMPLE_LIMIT, FREQUENT_LIMIT = 4, 200_000
 #: Up to this many pairs to verify, and their ids, are broadcast.
 BROADCAST_PAIRS = 500_000
+#: Of the fingerprints.
+RADIUS, SEED = 4, 42
+#: Of the difference that the similarity allows, what bitmaps of pairs show that hardly fail.
+SURE = 0.8
+#: Characters of texts whose fingerprints are made at a time.
+PASS_CHARS = 1 << 21
+#: Rows of a group that are compared one by one.
+SMALL = 12
 #: Pairs of a group that are compared at a time.
 PAIRS_AT_ONCE = 1 << 20
 
@@ -84,14 +97,23 @@ def prefix(own: np.ndarray, frequent: np.ndarray, similarity: float) -> np.ndarr
 
 
 def bitmap(own: np.ndarray) -> bytes:
-    """Parity of the number of shingles in each of 64 * BITMAP buckets."""
-    counts = np.bincount((own >> np.uint64(7)).astype(np.int64) % (64 * BITMAP), minlength=64 * BITMAP)
+    """Parity of the number of shingles in each bucket; as many buckets as shingles, up to the next power of two."""
+    buckets = 64 * BITMAP
+    while buckets < len(own):
+        buckets *= 2
+    counts = np.bincount((own >> np.uint64(7)).astype(np.int64) & (buckets - 1), minlength=buckets)
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
 
+def fold(bits: bytes, words: int) -> np.ndarray:
+    """The bitmap with fewer buckets: halves are added up, which leaves parities right."""
+    whole = np.frombuffer(bits, np.uint64)
+    return np.bitwise_xor.reduce(whole.reshape(-1, words), axis=0)
+
+
 def _sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
-    for text in texts.cast(pa.binary()).to_pylist():
-        yield shingles(text or b"", words)
+    for text in texts.cast(pa.binary()):
+        yield shingles(text.as_py() or b"", words)
 
 
 def _class_of(own: np.ndarray) -> int:
@@ -139,32 +161,16 @@ def _whole(held: list[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
         yield rows, np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
 
 
-def _of_several(column: int):
-    """Arrow map over sorted rows: the distinct rows of keys whose rows differ in this column."""
-
-    def run(batches):
-        for rows, cuts in _runs(batches):
-            values, cls = rows.column(column).to_numpy(), rows.column(2).to_numpy()
-            differs = np.maximum.reduceat(values, cuts[:-1]) != np.minimum.reduceat(values, cuts[:-1])
-            keep = np.repeat(differs, np.diff(cuts))
-            starts = np.zeros(len(cls), bool)
-            starts[cuts[:-1]] = True
-            keep &= starts | np.concatenate([[True], cls[1:] != cls[:-1]])
-            yield from rows.filter(pa.array(keep)).combine_chunks().to_batches()
-
-    return run
-
-
-def _neighbours(similarity: float):
-    """Arrow map over sorted (key, n, cls): pairs (a, b) that follow each other in a key's group."""
-
-    def run(batches):
-        for rows, _ in _runs(batches):
-            key, n, cls = (rows.column(i).to_numpy() for i in range(3))
-            near = np.flatnonzero((key[1:] == key[:-1]) & (n[:-1] >= similarity * n[1:] - 1e-9))
-            yield _pairs(cls[near], cls[near + 1])
-
-    return run
+def _of_several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow map over sorted (key, n, cls): the distinct rows of keys that have several classes."""
+    for rows, cuts in _runs(batches):
+        cls = rows.column(2).to_numpy()
+        differs = np.maximum.reduceat(cls, cuts[:-1]) != np.minimum.reduceat(cls, cuts[:-1])
+        keep = np.repeat(differs, np.diff(cuts))
+        starts = np.zeros(len(cls), bool)
+        starts[cuts[:-1]] = True
+        keep &= starts | np.concatenate([[True], cls[1:] != cls[:-1]])
+        yield from rows.filter(pa.array(keep)).combine_chunks().to_batches()
 
 
 def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -172,47 +178,110 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy(), pa.int64()), pa.array(both[:, 1].copy(), pa.int64())], names=["a", "b"])
 
 
-def _apart(similarity: float):
-    """Arrow map over sorted (key, n, cls, root, bits): a group's pairs of different roots that may reach the similarity."""
-    spare = (1 - similarity) / (1 + similarity)
+def _apart(similarity: float, spanning: bool = False):
+    """Arrow map over sorted (key, n, cls, root, bits): pairs of a group with different roots that may reach the similarity.
+
+    All of them; or of those that surely reach it, only as many as join the roots that they join.
+    """
+    spare = (1 - similarity) / (1 + similarity) * (SURE if spanning else 1)
 
     def run(batches):
         for rows, cuts in _runs(batches):
             n, cls, root = (rows.column(i).to_numpy() for i in (1, 2, 3))
-            bits = np.frombuffer(b"".join(rows.column(4).to_pylist()), np.uint64).reshape(-1, BITMAP)
+            bits = rows.column(4)
             found = []
             for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                 if hi - lo < 2 or (root[lo:hi] == root[lo]).all():
                     continue
-                # sizes ascend: partners of i are the following rows up to n[i] / similarity
-                ends = lo + np.searchsorted(n[lo:hi], n[lo:hi] / similarity + 1e-6, "right")
-                step = max(1, PAIRS_AT_ONCE // (hi - lo))
-                for at in range(lo, hi, step):
-                    i = np.arange(at, min(at + step, hi))
-                    j = np.arange(at + 1, ends[i[-1] - lo])
-                    if not len(j):
-                        continue
-                    ok = (j[None, :] > i[:, None]) & (j[None, :] < ends[i - lo][:, None]) & (root[i][:, None] != root[j][None, :])
-                    x, y = np.nonzero(ok)
-                    x, y = i[x], j[y]
-                    near = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1) <= spare * (n[x].astype(np.int64) + n[y]) + 1e-6
-                    found.append((cls[x[near]], cls[y[near]]))
+                of_group = _of_small_group if hi - lo <= SMALL else _of_group
+                for x, y in of_group(n[lo:hi].astype(np.int64), root[lo:hi], bits[lo:hi].to_pylist(), similarity, spare, spanning):
+                    found.append((np.full(len(y), cls[lo + x]), cls[lo + y]))
+                if len(found) > PAIRS_AT_ONCE:
+                    yield _pairs(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
+                    found = []
             if found:
                 yield _pairs(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
 
     return run
 
 
+def _of_small_group(n: np.ndarray, root: np.ndarray, bits: list[bytes], similarity: float, spare: float, spanning: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """_of_group for a few rows, on plain numbers."""
+    sizes, label = n.tolist(), root.tolist()
+    values = [(len(x), int.from_bytes(x, "little")) for x in bits]
+    for i, (own, mine) in enumerate(values):
+        partners, best = [], {}
+        for j in range(i + 1, len(values)):
+            if sizes[j] > sizes[i] / similarity + 1e-6:
+                break
+            if label[j] == label[i]:
+                continue
+            (wide, theirs), (least, x) = values[j], (own, mine)
+            while wide > least:
+                wide >>= 1
+                theirs = (theirs ^ (theirs >> 8 * wide)) & ((1 << 8 * wide) - 1)
+            while least > wide:
+                least >>= 1
+                x = (x ^ (x >> 8 * least)) & ((1 << 8 * least) - 1)
+            both = sizes[i] + sizes[j]
+            if (differ := (theirs ^ x).bit_count()) <= spare * both + 1e-6:
+                partners.append(j)
+                best[label[j]] = min(best.get(label[j], (9.0, 0)), (differ / both, j))
+        if partners:
+            if spanning:
+                partners = sorted(j for _, j in best.values())
+                label = [label[i] if r in best else r for r in label]
+            yield i, np.array(partners)
+
+
+def _of_group(n: np.ndarray, root: np.ndarray, bits: list[bytes], similarity: float, spare: float, spanning: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, its partners among the later rows) of one group, whose sizes ascend."""
+    label = np.unique(root, return_inverse=True)[1]
+    # sizes are within a factor for partners, so rows are held by the number of words of their bitmaps and folded to the smaller of two
+    wide = np.array([len(x) // 8 for x in bits])
+    held = {w: np.frombuffer(b"".join(bits[i] for i in np.flatnonzero(wide == w)), np.uint64).reshape(-1, w) for w in np.unique(wide).tolist()}
+    place = np.zeros(len(n), np.int64)
+    for w in held:
+        place[wide == w] = np.arange((wide == w).sum())
+    ends = np.searchsorted(n, n / similarity + 1e-6, "right")
+    for i in range(len(n)):
+        later = i + 1 + np.flatnonzero(label[i + 1 : ends[i]] != label[i])
+        own, near, far = int(wide[i]), [], []
+        for w in np.unique(wide[later]).tolist():
+            j = later[wide[later] == w]
+            for part in np.array_split(j, max(1, len(j) * w // PAIRS_AT_ONCE + 1)):
+                least = min(w, own)
+                mine = np.bitwise_xor.reduce(held[own][place[i]].reshape(-1, least), axis=0)
+                theirs = np.bitwise_xor.reduce(held[w][place[part]].reshape(len(part), -1, least), axis=1)
+                differ = np.bitwise_count(theirs ^ mine).sum(axis=1, dtype=np.int64) / (n[i] + n[part])
+                ok = differ <= spare + 1e-9
+                near.append(part[ok]), far.append(differ[ok])
+        partners = np.concatenate(near) if near else later
+        if not len(partners):
+            continue
+        if spanning:
+            # of each component the row that is nearest
+            partners = partners[np.lexsort((partners, np.concatenate(far)))]
+            joined, first = np.unique(label[partners], return_index=True)
+            partners = np.sort(partners[first])
+            label[np.isin(label, joined)] = label[i]
+        yield i, partners
+        if spanning and (label == label[0]).all():
+            return
+
+
 def _may_reach(similarity: float):
     """Arrow map over (a, b, size of a, bits of a, size of b, bits of b): the pairs that the bitmaps don't rule out."""
     spare = (1 - similarity) / (1 + similarity)
 
     def run(batches):
         for batch in batches:
-            one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(-1, BITMAP) for i in (3, 5))
             sizes = batch.column(2).to_numpy().astype(np.int64) + batch.column(4).to_numpy()
-            near = np.bitwise_count(one ^ two).sum(axis=1) <= spare * sizes + 1e-6
-            yield batch.select([0, 1]).filter(pa.array(near))
+            differ = np.zeros(batch.num_rows, np.int64)
+            for i, (x, y) in enumerate(zip(batch.column(3).to_pylist(), batch.column(5).to_pylist())):
+                words = min(len(x), len(y)) // 8
+                differ[i] = np.bitwise_count(fold(x, words) ^ fold(y, words)).sum()
+            yield batch.select([0, 1]).filter(pa.array(differ <= spare * sizes + 1e-6))
 
     return run
 
@@ -234,38 +303,69 @@ def _verified(similarity: float):
 
 def components(df: DataFrame, spark: SparkSession, text: str = "text", doc_id: str = "doc_id", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row a document: (doc_id, component_id); linked are all pairs of the Jaccard similarity or more."""
+    marked, of_class = linked_classes(df, spark, text, doc_id, words, similarity)
+    return marked.join(of_class, "cls", "left").select("doc_id", "component_id")
+
+
+def with_class(df: DataFrame, text: str = "text", words: int = 5) -> DataFrame:
+    """Adds cls (long): the class of the row's set of shingles."""
+
+    def run(texts: pa.Array) -> list[pa.Array]:
+        return [pa.array([_class_of(s) for s in _sets(texts, words)], pa.int64())]
+
+    return append_columns(df, run, text, [c for c in df.columns if c != "cls"], [("cls", T.LongType(), pa.int64())])
+
+
+def linked_classes(df: DataFrame, spark: SparkSession, text: str = "text", doc_id: str = "doc_id", words: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, cls) of every row; (cls, root, component_id) of every class, root being the least class of its component."""
     slim = df.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     frequent = spark.sparkContext.broadcast(frequent_shingles(slim, "text", words))  # bounded: FREQUENT_LIMIT hashes
 
+    # one text's set at a time: a batch of long texts has room for its results only
     def mark(texts: pa.Array) -> list[pa.Array]:
-        sets = list(_sets(texts, words))
-        return [pa.array([_class_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array([bitmap(s) for s in sets], pa.binary())]
+        rows = [(_class_of(s), len(s), bitmap(s)) for s in _sets(texts, words)]
+        cls, n, bits = zip(*rows) if rows else ((), (), ())
+        prints = [np.zeros(0, np.uint64)]
+        for part in text_chunks(texts, PASS_CHARS):
+            prints.append(simhash.fingerprint_bytes([t.encode() for t in part], words, SEED))
+        return [pa.array(cls, pa.int64()), pa.array(n, pa.int32()), pa.array(bits, pa.binary()), pa.array(np.concatenate(prints).view(np.int64), pa.int64())]
 
     def start(texts: pa.Array) -> list[pa.Array]:
-        sets = list(_sets(texts, words))
-        prefixes = [(prefix(s, frequent.value, similarity) & KEY).view(np.int64) for s in sets]
-        return [pa.array([_class_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))]
+        rows = [(_class_of(s), len(s), (prefix(s, frequent.value, similarity) & KEY).view(np.int64)) for s in _sets(texts, words)]
+        cls, n, prefixes = zip(*rows) if rows else ((), (), ())
+        return [pa.array(cls, pa.int64()), pa.array(n, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))]
 
     # sets are made twice: prefixes take too much room to be kept
-    marked = cut(append_columns(slim, mark, "text", ["doc_id"], [("cls", T.LongType(), pa.int64()), ("n", T.IntegerType(), pa.int32()), ("bits", T.BinaryType(), pa.binary())]), spark)
-    classes = cut(marked.groupBy("cls").agg(F.min("doc_id").alias("least"), F.min("n").alias("n"), F.min("bits").alias("bits")), spark)
+    added = [("cls", T.LongType(), pa.int64()), ("n", T.IntegerType(), pa.int32()), ("bits", T.BinaryType(), pa.binary()), ("fp", T.LongType(), pa.int64())]
+    marked = cut(append_columns(slim, mark, "text", ["doc_id"], added), spark)
+    classes = cut(marked.groupBy("cls").agg(F.min("doc_id").alias("least"), *[F.min(c).alias(c) for c in ("n", "bits", "fp")]), spark)
     keys = append_columns(slim, start, "text", [], [("cls", T.LongType(), pa.int64()), ("n", T.IntegerType(), pa.int32()), ("prefix", T.ArrayType(T.LongType()), pa.list_(pa.int64()))])
     keys = keys.select(F.explode("prefix").alias("key"), "n", "cls")
     tasks = max(spark.sparkContext.defaultParallelism * 4, int(spark.conf.get("spark.sql.shuffle.partitions")))
     by_key = lambda rows: rows.repartition(tasks, "key").sortWithinPartitions("key", "n", "cls")
-    shared = cut(by_key(keys).mapInArrow(_of_several(2), "key long, n int, cls long"), spark)  # keeps its order
-    near = shared.mapInArrow(_neighbours(similarity), "a long, b long").groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    edges = _verify(near, slim, classes, spark, words, similarity)
+    shared = cut(by_key(keys).mapInArrow(_of_several, "key long, n int, cls long"), spark)  # keeps its order
+    edges = _verify(_close_prints(classes, spark), slim, classes, spark, words, similarity)
+    for spanning in (True, False):
+        roots = connected_components(edges, spark).withColumnRenamed("node", "cls")
+        rooted = classes.select("cls", "bits").join(roots, "cls", "left").select("cls", F.coalesce("root", "cls").alias("root"), "bits")
+        rows = by_key(shared.join(rooted, "cls").select("key", "n", "cls", "root", "bits"))
+        more = _verify(rows.mapInArrow(_apart(similarity, spanning), "a long, b long"), slim, classes, spark, words, similarity)
+        edges = cut(edges.unionByName(more), spark)
     roots = connected_components(edges, spark).withColumnRenamed("node", "cls")
-    rooted = shared.join(roots, "cls", "left").select("key", "n", "cls", F.coalesce("root", "cls").alias("root"))
-    mixed = cut(by_key(rooted).mapInArrow(_of_several(3), "key long, n int, cls long, root long"), spark)
-    rows = mixed.join(classes.select("cls", "bits"), "cls").select("key", "n", "cls", "root", "bits")
-    more = _verify(by_key(rows).mapInArrow(_apart(similarity), "a long, b long"), slim, classes, spark, words, similarity)
-    roots = connected_components(edges.unionByName(more), spark).withColumnRenamed("node", "cls")
     linked = classes.select("cls", "least").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_class = cut(linked.join(least, "root").select("cls", "component_id"), spark)
-    return marked.select("doc_id", "cls").join(of_class, "cls", "left").select("doc_id", "component_id")
+    of_class = cut(linked.join(least, "root").select("cls", "root", "component_id"), spark)
+    return marked.select("doc_id", "cls"), of_class
+
+
+def _close_prints(classes: DataFrame, spark: SparkSession) -> DataFrame:
+    """Pairs (a, b) of classes that operator 10 links: of equal fingerprints, or of linked ones."""
+    least = classes.groupBy("fp").agg(F.min("cls").alias("first"))
+    equal = classes.join(least, "fp").where("cls <> first").select(F.col("first").alias("a"), F.col("cls").alias("b"))
+    links = simhash.link(least.select("fp"), spark, RADIUS)
+    of = lambda end, name: least.select(F.col("fp").alias(end), F.col("first").alias(name))
+    linked = links.join(of("a", "x"), "a").join(of("b", "y"), "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return equal.unionByName(linked)
 
 
 def _verify(pairs: DataFrame, slim: DataFrame, classes: DataFrame, spark: SparkSession, words: int, similarity: float) -> DataFrame:

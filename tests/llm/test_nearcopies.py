@@ -89,3 +89,48 @@ def test_large_group_is_cut_in_steps(monkeypatch):
     pieces = [batch.slice(i, 4) for i in range(0, 30, 4)]
     got = {tuple(p) for b in n._apart(0.8)(iter(pieces)) for p in zip(*(c.to_pylist() for c in b.columns))}
     assert got == {(i, j) for i in range(30) for j in range(i + 1, 30) if i % 4 != j % 4 and size[i] >= 0.8 * size[j]}
+
+
+def test_rows_without_an_id_stay(spark):
+    one, two = ("first text of some words that differs", "second other one with quite different words in it")
+    rows = [(None, one, "en", "s", 1), (None, two, "en", "s", 1), (None, two.upper(), "en", "s", 1), (3, "third row has an id and its own words", "en", "s", 1), (None, "Third row has an id and its own words", "de", "s", 1)]
+    got = sorted(((r.doc_id, r.text) for r in cp.STAGES[1][1](spark, spark.createDataFrame(rows, SCHEMA), "").collect()), key=str)
+    assert got == sorted([(None, one), (None, min(two, two.upper())), (3, "third row has an id and its own words")], key=str)
+
+
+def test_bitmaps_never_overstate():
+    rnd = np.random.default_rng(1)
+    for size in (1, 200, 300, 3000, 9000):
+        a = np.unique(rnd.integers(0, 2**63, size).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: int(0.9 * len(a))], rnd.integers(0, 2**63, size // 9 + 1).astype(np.uint64)]))
+        x, y = n.bitmap(a), n.bitmap(b)
+        words = min(len(x), len(y)) // 8
+        differ = len(np.setxor1d(a, b))
+        got = int(np.bitwise_count(n.fold(x, words) ^ n.fold(y, words)).sum())
+        assert got <= differ and got >= 0.6 * min(differ, 60)
+
+
+def test_groups_agree_with_brute_force():
+    rnd = np.random.default_rng(4)
+    for m in (2, 5, 12, 13, 40):
+        for _ in range(12):
+            base = np.unique(rnd.integers(0, 2**63, int(rnd.choice([30, 250, 300, 1100]))).astype(np.uint64))
+            sets = sorted([np.unique(np.concatenate([base[rnd.random(len(base)) < rnd.choice([0.8, 0.97])], rnd.integers(0, 2**63, 3).astype(np.uint64)])) for _ in range(m)], key=len)
+            size, bits = np.array([len(x) for x in sets]), [n.bitmap(x) for x in sets]
+            root = rnd.integers(0, 4, m)
+            spare = 0.2 / 1.8
+            near = lambda i, j: len(np.setxor1d(sets[i], sets[j])) <= spare * (size[i] + size[j])
+            true = {(i, j) for i in range(m) for j in range(i + 1, m) if root[i] != root[j] and near(i, j)}
+            for group in (n._of_small_group, n._of_group):
+                found = {(i, j) for i, part in group(size, root, bits, 0.8, spare, False) for j in part.tolist()}
+                assert found >= true and all(root[i] != root[j] for i, j in found)
+                few = {(i, j) for i, part in group(size, root, bits, 0.8, spare, True) for j in part.tolist()}
+                assert few <= found and len(few) < 4  # joins of four components
+                # all that is found lies within what the few join
+                def joined(pairs):
+                    label = root.copy()
+                    for i, j in sorted(pairs):
+                        label[label == label[j]] = label[i]
+                    return label
+                label = joined(few)
+                assert all(label[i] == label[j] for i, j in found)
