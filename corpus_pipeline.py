@@ -4,8 +4,9 @@ Each stage takes (spark, docs, sf_dir) and works on all rows that the stage befo
 kept.  All but the last return the columns of documents.
 
 Defined results: null and empty texts go through every stage; rows that share an id
-are one document for the copies stage, which keeps one of them; an empty table
-gives an empty table.
+are one document for the copies stage, which keeps one of them; rows without an id
+are documents of their own there, of which those stay that copy nothing else (of
+copies among themselves the first by text); an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -32,8 +33,17 @@ def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def keep_one_near_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (Jaccard 0.8 or more over five-word shingles) the document of the smallest id."""
-    return _one_each(spark, docs.select(COLUMNS), nearcopies.components(docs.select(COLUMNS), spark))
+    """Of each group of near copies the document of the smallest id: SimHash links over five-word shingles, and all pairs of Jaccard 0.8 or more."""
+    docs = docs.select(COLUMNS)
+    marked, of_class = nearcopies.linked_classes(docs, spark)
+    named = docs.where(F.col("doc_id").isNotNull())
+    kept = _one_each(spark, named, marked.where(F.col("doc_id").isNotNull()).join(of_class, "cls").select("doc_id", "component_id"))
+    unnamed = docs.where(F.col("doc_id").isNull())
+    if unnamed.isEmpty():
+        return kept
+    own = nearcopies.with_class(unnamed).join(of_class.where(F.col("component_id").isNull()).select("cls", "root"), "cls")
+    first = own.groupBy("root").agg(F.min(F.struct("text", "doc_id", "lang", "source", "n_chars")).alias("r"))
+    return kept.unionByName(first.select("r.*").select(COLUMNS))
 
 
 def _one_each(spark: SparkSession, docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -73,7 +83,7 @@ def encode_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", keep_quality),
-    ("near-dedup", keep_one_near_copy),
+    ("simhash near-dedup", keep_one_near_copy),
     ("benchmark decontamination", drop_leaks),
     ("secret scan", redact_secrets),
     ("byte-level bpe", encode_ids),
