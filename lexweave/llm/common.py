@@ -7,7 +7,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,19 +79,34 @@ def put_file(uri: str, payload: bytes) -> None:
     system.move(part, path)
 
 
+#: Bytes of text that an Arrow map handles at a time; a longer text is handled alone.
+PASS_BYTES = 8 << 20
+
+
+def slices(batch: pa.RecordBatch, column: int, limit: int = PASS_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in parts whose values of a column begin within the same `limit` bytes."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(sizes) - sizes) // limit
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for start, end in zip(cuts, cuts[1:]):
+        yield batch.slice(start, end - start)
+
+
 def append_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], list[pa.Array]], text: str, keep: list[str], added: list[tuple[str, T.DataType, pa.DataType]]) -> DataFrame:
-    """Arrow map: fn gets a batch whose column 'text' is the text; its arrays are appended to `keep`."""
+    """Arrow map: fn gets a column of texts; its arrays are appended to `keep`. A kept text travels once."""
     own = "__text"
     while own in keep:
         own += "_"
-    slim = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias(own))
+    kept = [F.col(f"`{c}`") for c in keep]
+    at = keep.index(text) if text in keep else len(keep)
+    slim = df.select(*kept, *([] if text in keep else [F.col(f"`{text}`").alias(own)]))
     schema = T.StructType([slim.schema[c] for c in keep] + [T.StructField(n, t) for n, t, _ in added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(len(keep))
-            arrays = [batch.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays(arrays + fn(texts), names=keep + [n for n, _, _ in added])
+            for part in slices(batch, at):
+                arrays = [part.column(i) for i in range(len(keep))]
+                yield pa.RecordBatch.from_arrays(arrays + fn(part.column(at)), names=keep + [n for n, _, _ in added])
 
     return slim.mapInArrow(run, schema)
 
