@@ -73,7 +73,7 @@ def tokens(text: bytes) -> list[bytes]:
 def pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
     """Sorted keys and counts: differences with their bytes laid out by significance, then deflate."""
     steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
-    body = steps.view(np.uint8).reshape(-1, 8).T.tobytes() + counts.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    body = steps.view(np.uint8).reshape(-1, 8).T.tobytes() + counts.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
     return len(keys).to_bytes(8, "little") + zlib.compress(body, 1)
 
 
@@ -81,7 +81,7 @@ def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     n = int.from_bytes(blob[:8], "little")
     body = np.frombuffer(zlib.decompress(blob[8:]), np.uint8)
     steps = np.ascontiguousarray(body[: 8 * n].reshape(8, n).T).view("<u8").ravel()
-    counts = np.ascontiguousarray(body[8 * n :].reshape(4, n).T).view("<u4").ravel()
+    counts = np.ascontiguousarray(body[8 * n :].reshape(8, n).T).view("<u8").ravel()
     return np.cumsum(steps, dtype=np.uint64), counts.astype(np.int64)
 
 
@@ -305,7 +305,7 @@ def store_pairs(base: str, words: Words):
         shard, keys, counts = gathered(batches)
         if shard is None:
             return
-        store(base, "pairs", shard, key=keys.astype("<u8"), count=counts.astype("<u4"))
+        store(base, "pairs", shard, key=keys.astype("<u8"), count=counts.astype("<u8"))
         plain = unmix(keys)
         left, right = (plain >> np.uint64(32)).astype(np.int64), (plain & np.uint64(0xFFFFFFFF)).astype(np.int64)
         first = np.concatenate([[0], np.cumsum(words.sizes)])
@@ -389,7 +389,7 @@ class Model:
         found = np.zeros(len(keys), np.int64)
         base, filled = self.words.base, self.pair_shards
         for s, hit, place in lookup(keys, len(filled), lambda s: array_of(f"{base}/pairs-{s:05d}.key", "<u8") if filled[s] else None):
-            found[hit] = array_of(f"{base}/pairs-{s:05d}.count", "<u4")[place]
+            found[hit] = array_of(f"{base}/pairs-{s:05d}.count", "<u8")[place]
         out[at] = found[back]
         return out
 
@@ -423,6 +423,8 @@ def fit(df: DataFrame, spark: SparkSession, train: Column, text: str = "text") -
     sizes = [0] * shards
     for r in counted:
         sizes[r.shard] = r.keys
+    if sum(sizes) >= (1 << 32) - 1:
+        raise OverflowError("a pair's key holds two ids of 32 bits; there are more different words")
     words, total = Words(base, tuple(sizes)), sum(r.tokens for r in counted)
     end = int(words.ids(word_hashes([END]))[0]) if total else -1
     pair_shards = max(8, -(-total // SHARD_TOKENS))

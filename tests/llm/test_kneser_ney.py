@@ -102,3 +102,8 @@ def test_blocks_round_trip():
     k, c = kn.unpack(kn.pack(keys, counts))
     assert (k == keys).all() and (c == counts).all()
     assert (kn.unmix(kn.mix(keys)) == keys).all()
+
+
+def test_counts_beyond_32_bits_survive():
+    keys, counts = np.array([3, 9], np.uint64), np.array([(1 << 32) + 7, 1], np.int64)
+    assert [x.tolist() for x in kn.unpack(kn.pack(keys, counts))] == [[3, 9], [(1 << 32) + 7, 1]]
