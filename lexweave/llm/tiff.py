@@ -3,7 +3,7 @@
 Reads classic and big TIFF of either byte order, 8, 16 and 32-bit unsigned samples,
 chunky or planar, in strips or tiles, stored plainly or by PackBits, LZW or deflate,
 with or without horizontal differencing.  Writes pages of 8-bit samples by the same
-schemes.
+schemes; `store` chooses each page's by its content.
 
 Defined results: a null or empty column value has no pages.  A value that isn't a
 well-formed TIFF of these kinds gives one row with `error` set and no samples; pages
@@ -15,6 +15,7 @@ gives an empty table.
 
 from __future__ import annotations
 
+import hashlib
 import struct
 import zlib
 from collections.abc import Iterator
@@ -302,12 +303,25 @@ def read_pages(data: bytes | None) -> Iterator[Page | Malformed]:
         yield error
 
 
-def write_pages(pages: list[np.ndarray], compression: int = DEFLATE, predictor: int = 1, rows: int = 64, tile: int | None = None, order: str = "<", big: bool = False) -> bytes:
-    """A TIFF of pages of 8-bit samples, (height, width) or (height, width, samples), in strips of `rows` or square tiles."""
+@dataclass(frozen=True)
+class Scheme:
+    """How a page is stored: codec, differencing (2) or none (1), square tiles of a size or strips."""
+
+    compression: int
+    predictor: int = 1
+    tile: int | None = None
+
+
+def write_pages(
+    pages: list[np.ndarray], compression: int = DEFLATE, predictor: int = 1, rows: int = 64, tile: int | None = None, order: str = "<", big: bool = False, schemes: list[Scheme] | None = None
+) -> bytes:
+    """A TIFF of pages of 8-bit samples, (height, width) or (height, width, samples), in strips of `rows` or square tiles; `schemes`: of each page."""
     wide, pointer, count = ("Q", 16, 8) if big else ("I", 4, 4)
     out = bytearray((b"II" if order == "<" else b"MM") + (struct.pack(order + "HHHQ", 43, 8, 0, 0) if big else struct.pack(order + "HI", 42, 0)))
     link = 8 if big else 4
-    for pixels in pages:
+    for number, pixels in enumerate(pages):
+        if schemes:
+            compression, predictor, tile = schemes[number].compression, schemes[number].predictor, schemes[number].tile
         pixels = pixels.reshape(*pixels.shape[:2], -1)
         height, width, samples = pixels.shape
         cut_w, cut_h = (tile, tile) if tile else (width, min(rows, height))
@@ -346,6 +360,12 @@ def write_pages(pages: list[np.ndarray], compression: int = DEFLATE, predictor:
 UNIT = 576
 #: Rows of a stored page at most.
 PAGE_ROWS = 512
+#: Pages up to this height are stored by LZW.
+SHORT_ROWS = 2
+#: Pages from this height on are stored in square tiles of this size.
+TALL_ROWS, TILE = 256, 64
+#: Bytes of samples in a batch of page rows; a larger page is a batch of its own.
+PIXEL_BYTES = 4 << 20
 
 
 def payload_of(text: str | None) -> bytes:
@@ -353,23 +373,58 @@ def payload_of(text: str | None) -> bytes:
     return data + b"\xff" * (-len(data) % UNIT if data else UNIT)
 
 
+def entropy_of(samples: np.ndarray) -> float:
+    share = np.bincount(samples.ravel(), minlength=256) / max(1, samples.size)
+    real = share[share > 0]
+    return -float(real @ np.log2(real))
+
+
+def scheme_of(samples: np.ndarray) -> Scheme:
+    """By content: differencing where it leaves less entropy; then PackBits for runs, LZW for short pages, deflate for others, tall ones in tiles."""
+    steps = np.diff(samples, axis=1, prepend=np.zeros_like(samples[:, :1]))
+    predictor = 2 if entropy_of(steps) < entropy_of(samples) else 1
+    stored = steps if predictor == 2 else samples
+    if (stored[:, 1:] == stored[:, :-1]).mean() >= 0.5:
+        return Scheme(PACKBITS, predictor)
+    if len(samples) <= SHORT_ROWS:
+        return Scheme(LZW, predictor)
+    return Scheme(DEFLATE, predictor, TILE if len(samples) >= TALL_ROWS else None)
+
+
 def media_of(payload: bytes) -> bytes:
     samples = np.frombuffer(payload, np.uint8).reshape(-1, UNIT)
-    return write_pages([samples[at : at + PAGE_ROWS] for at in range(0, len(samples), PAGE_ROWS)])
+    pages = [samples[at : at + PAGE_ROWS] for at in range(0, len(samples), PAGE_ROWS)]
+    return write_pages(pages, schemes=[scheme_of(p) for p in pages])
+
+
+class Features:
+    """Pages, height, mean, deviation, share of steps between neighbours over 32, and entropy in bits of all samples, page by page."""
+
+    def __init__(self):
+        self.counts, self.steps, self.pages, self.height = np.zeros(256, np.int64), 0, 0, 0
+
+    def add(self, pixels: np.ndarray) -> None:
+        self.counts += np.bincount(pixels.ravel(), minlength=256)
+        self.steps += int((np.abs(np.diff(pixels.astype(np.int16), axis=1)) > 32).sum())
+        self.pages += 1
+        self.height += pixels.shape[0]
+
+    def text(self) -> str:
+        n = int(self.counts.sum())
+        if not n:
+            return "pages=0"
+        share = self.counts / n
+        mean = float(share @ np.arange(256))
+        spread = float(np.sqrt(max(0.0, share @ np.arange(256) ** 2 - mean * mean)))
+        real = share[share > 0]
+        return f"pages={self.pages};height={self.height};mean={mean:.4f};deviation={spread:.4f};edges={self.steps / n:.4f};entropy={-float(real @ np.log2(real)):.4f}"
 
 
 def feature_of(pages: list[Page]) -> str:
-    """Pages, height, mean, deviation, share of steps between neighbours over 32, and entropy in bits of all samples."""
-    counts = sum((np.bincount(p.pixels.ravel(), minlength=256) for p in pages), np.zeros(256, np.int64))
-    n = int(counts.sum())
-    if not n:
-        return "pages=0"
-    share = counts / n
-    mean = float(share @ np.arange(256))
-    spread = float(np.sqrt(max(0.0, share @ np.arange(256) ** 2 - mean * mean)))
-    steps = sum(int((np.abs(np.diff(p.pixels.astype(np.int16), axis=1)) > 32).sum()) for p in pages)
-    real = share[share > 0]
-    return f"pages={len(pages)};height={sum(p.pixels.shape[0] for p in pages)};mean={mean:.4f};deviation={spread:.4f};edges={steps / n:.4f};entropy={-float(real @ np.log2(real)):.4f}"
+    found = Features()
+    for page in pages:
+        found.add(page.pixels)
+    return found.text()
 
 
 def store(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -387,6 +442,7 @@ def store(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> D
 
 
 PAGE_FIELDS = [("page", "int"), ("width", "int"), ("height", "int"), ("samples", "int"), ("bits", "int"), ("compression", "int"), ("predictor", "int"), ("tiled", "boolean"), ("pixels", "binary"), ("error", "string")]
+PIXELS = [n for n, _ in PAGE_FIELDS].index("pixels")
 _ARROW = {"int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary(), "string": pa.string()}
 
 
@@ -404,18 +460,87 @@ def pages(df: DataFrame, media: str = "media", keep: list[str] | None = None) ->
     slim = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{media}`").alias("__media"))
     schema = T.StructType([slim.schema[c] for c in keep] + [T.StructField(n, T._parse_datatype_string(t)) for n, t in PAGE_FIELDS])
 
+    def made(batch: pa.RecordBatch, owners: list[int], rows: list[tuple]) -> pa.RecordBatch:
+        kept = [batch.column(c).take(pa.array(owners, pa.int64())) for c in range(len(keep))]
+        return pa.RecordBatch.from_arrays(kept + [pa.array(v, _ARROW[t]) for v, (_, t) in zip(zip(*rows), PAGE_FIELDS)], names=keep + names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            owners, rows, size = [], [], 0
             for i, data in enumerate(batch.column(len(keep))):
-                data = data.as_py()
-                for number, page in enumerate(read_pages(data)):
-                    kept = [batch.column(c).slice(i, 1) for c in range(len(keep))]
-                    made = [pa.array([v], _ARROW[t]) for v, (_, t) in zip(_page_row(page, number), PAGE_FIELDS)]
-                    yield pa.RecordBatch.from_arrays(kept + made, names=keep + names)
+                for number, page in enumerate(read_pages(data.as_py())):
+                    owners.append(i), rows.append(_page_row(page, number))
+                    size += len(rows[-1][PIXELS] or b"")
+                    if size > PIXEL_BYTES:
+                        yield made(batch, owners, rows)
+                        owners, rows, size = [], [], 0
+            if rows:
+                yield made(batch, owners, rows)
 
     return slim.mapInArrow(run, schema)
 
 
+DIGESTS = [("payload_bytes", "long"), ("payload_sha256", "string"), ("tail_crc32", "long"), ("feature", "string"), ("schemes", "string")]
+
+
+def digests(found: DataFrame, keep: list[str]) -> DataFrame:
+    """One row a value from the rows of `pages`, which must come straight from it: kept columns, then payload_bytes, payload_sha256, tail_crc32, feature, schemes.
+
+    A value's page rows stand one after another in one partition, so they are added up
+    as they pass, without a shuffle and without the whole payload being held.  schemes
+    has each page's codec number, "d" for differencing and "t" for tiles, runs of equal ones once.
+    A page with an error is raised.
+    """
+    slim = found.select(*[F.col(f"`{c}`") for c in keep], "page", "width", "height", "compression", "predictor", "tiled", "pixels", "error")
+    schema = T.StructType([slim.schema[c] for c in keep] + [T.StructField(n, T._parse_datatype_string(t)) for n, t in DIGESTS])
+    at = len(keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_row, first = None, None
+        for batch in batches:
+            done, kept = [], []
+            facts = [batch.column(at + i).to_pylist() for i in (0, 1, 2, 3, 4, 5, 7)]
+            for i, (page, width, height, compression, predictor, tiled, error) in enumerate(zip(*facts)):
+                if error is not None:
+                    raise Malformed(error)
+                if page == 0:
+                    if open_row is not None:
+                        done.append(open_row.row()), kept.append(first)
+                    open_row, first = _Digest(), batch.slice(i, 1).select(range(at))
+                open_row.add(batch.column(at + 6)[i].as_py(), height, width, f"{compression}{'d' if predictor == 2 else ''}{'t' if tiled else ''}")
+            if first is not None:
+                first = pa.RecordBatch.from_pylist(first.to_pylist(), schema=first.schema)  # holds no longer on to the batch
+            if done:
+                yield made(kept, done)
+        if open_row is not None:
+            yield made([first], [open_row.row()])
+
+    def made(kept: list[pa.RecordBatch], done: list[tuple]) -> pa.RecordBatch:
+        own = pa.Table.from_batches(kept).combine_chunks().to_batches()[0].columns if keep else []
+        types = {"long": pa.int64(), "string": pa.string()}
+        return pa.RecordBatch.from_arrays([*own, *(pa.array(v, types[t]) for v, (_, t) in zip(zip(*done), DIGESTS))], names=keep + [n for n, _ in DIGESTS])
+
+    return slim.mapInArrow(run, schema)
+
+
+class _Digest:
+    """What the pages of one value add up to."""
+
+    def __init__(self):
+        self.size, self.hash, self.tail, self.features, self.schemes = 0, hashlib.sha256(), b"", Features(), []
+
+    def add(self, pixels: bytes, height: int, width: int, scheme: str) -> None:
+        self.size += len(pixels)
+        self.hash.update(pixels)
+        self.tail = (self.tail + pixels[-32:])[-32:]
+        self.features.add(np.frombuffer(pixels, np.uint8).reshape(height, width, -1))
+        if self.schemes[-1:] != [scheme]:
+            self.schemes.append(scheme)
+
+    def row(self) -> tuple:
+        return (self.size, self.hash.hexdigest(), zlib.crc32(self.tail), self.features.text(), ",".join(self.schemes))
+
+
 def payloads(df: DataFrame, media: str = "media", keep: list[str] | None = None) -> DataFrame:
     """Adds payload (binary: all pages' samples in order, read back from the media) and feature (string)."""
 

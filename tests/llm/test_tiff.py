@@ -95,3 +95,32 @@ def test_query_columns(spark):
         assert zlib.crc32(want[-32:]) == zlib.crc32(bytes(got[i].payload)[-32:])
     assert "pages=3;" in got[4].feature and got[5].feature == got[6].feature and got[5].media == got[6].media
     assert tiff.payloads(tiff.store(df.limit(0))).collect() == []
+
+
+def test_pages_add_up_to_the_payload_by_all_schemes(spark):
+    import hashlib
+
+    rnd = random.Random(3)
+    ramp = "".join(chr(i % 128) for i in range(576 * 4))  # differencing leaves a run
+    texts = [None, "", "short text of a few words", "x" * 5000, ramp, "".join(rnd.choice("abcdefgh ") for _ in range(400_000)), "".join(rnd.choice("abcdefgh ") for _ in range(9000)), "\U0001f600" * 700, "x" * 5000]
+    df = spark.createDataFrame([(i % 8, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, page int").repartition(2)
+    stored = tiff.store(df, keep=["doc_id", "text"])
+    rows = tiff.digests(tiff.pages(stored, keep=["doc_id", "text"]), ["doc_id", "text"]).collect()
+    assert sorted(r.doc_id for r in rows) == [0, 0, 1, 2, 3, 4, 5, 6, 7]
+    plain = {r.text: r.feature for r in tiff.payloads(stored, keep=["text"]).collect()}
+    schemes = {}
+    for r in rows:
+        data = (r.text or "").encode()
+        want = data + b"\xff" * (576 if not data else -len(data) % 576)
+        assert (r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(want), hashlib.sha256(want).hexdigest(), zlib.crc32(want[-32:]))
+        assert r.feature == plain[r.text]
+        schemes[r.text] = r.schemes
+    assert schemes[texts[2]] == f"{tiff.PACKBITS}" or schemes[texts[2]] == f"{tiff.LZW}"
+    assert schemes[texts[3]].startswith(f"{tiff.PACKBITS}") and schemes[ramp].endswith("d") and schemes[texts[6]] == f"{tiff.DEFLATE}"
+    assert schemes[texts[5]].startswith(f"{tiff.DEFLATE}t")
+    used = [tiff.scheme_of(np.frombuffer("".join(rnd.choice("abcdefgh ") for _ in range(576 * n)).encode(), np.uint8).reshape(-1, 576)) for n in (1, 9, 300)]
+    assert [(s.compression, s.tile) for s in used] == [(tiff.LZW, None), (tiff.DEFLATE, None), (tiff.DEFLATE, 64)]
+    assert tiff.digests(tiff.pages(stored.limit(0), keep=["doc_id"]), ["doc_id"]).collect() == []
+    bad = spark.createDataFrame([(1, bytearray(b"no tiff"))], "doc_id long, media binary")
+    with pytest.raises(Exception, match="Malformed|TIFF|tiff"):
+        tiff.digests(tiff.pages(bad), ["doc_id"]).collect()
