@@ -76,7 +76,9 @@ def op7_tiff_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = tiff.store(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
     sized = stored.select("doc_id", "n_bytes", F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "media")
     keep = ["doc_id", "n_bytes", "media_bytes", "media_sha256"]
-    return tiff.digests(tiff.pages(sized, keep=keep), keep)
+    found = tiff.digests(tiff.pages(sized, keep=keep), keep)
+    feature = F.concat_ws(";schemes=", "feature", "schemes").alias("feature")
+    return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature)
 
 
 def op8_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
