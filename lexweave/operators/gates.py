@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexweave import dims
+from lexweave.session import settled
 from lexweave.functions import language as L
 from lexweave.functions import text as X
 
@@ -484,15 +485,20 @@ def valid_rule_id(rule_id: Column) -> Column:
 def resolved_rules(catalog: DataFrame) -> DataFrame:
     """(rule_id, final, steps, problem) by following merged_into: problem is 'dongu' for a circle, 'bilinmeyen' for an unknown target.
 
-    Pointers double each round, so a chain of n links takes about log2(n) joins.
+    Pointers double each round, so a chain of n links takes about log2(n) joins; each round's
+    pointers are settled, so a plan holds one of them, and rounds end when no pointer moves.
     """
     known = catalog.select("rule_id", F.col("merged_into").alias("next"))
     size = catalog.count()
-    rounds = max(1, size.bit_length() + 1)
-    hop = known.select("rule_id", F.coalesce("next", "rule_id").alias("to"), F.when(F.col("next").isNull(), 0).otherwise(1).cast("long").alias("steps"))
-    for _ in range(rounds):
+    hop = settled(known.select("rule_id", F.coalesce("next", "rule_id").alias("to"), F.when(F.col("next").isNull(), 0).otherwise(1).cast("long").alias("steps")))
+    for _ in range(size.bit_length() + 1):
         further = hop.select(F.col("rule_id").alias("__at"), F.col("to").alias("__to"), F.col("steps").alias("__more"))
-        hop = hop.join(further, hop["to"] == F.col("__at"), "left").select("rule_id", F.coalesce("__to", "to").alias("to"), F.least(F.col("steps") + F.coalesce("__more", F.lit(0)), F.lit(2 * size + 2)).alias("steps"))
+        steps = F.least(F.col("steps") + F.coalesce("__more", F.lit(0)), F.lit(2 * size + 2))
+        moved = hop.join(further, hop["to"] == F.col("__at"), "left").select("rule_id", F.coalesce("__to", "to").alias("to"), steps.alias("steps"), (F.coalesce("__more", F.lit(0)) > 0).alias("moved"))
+        moved = settled(moved)
+        hop = moved.drop("moved")
+        if moved.where("moved").isEmpty():
+            break
     end = known.select(F.col("rule_id").alias("__id"), F.col("next").alias("__next"))
     last = hop.join(end, hop["to"] == F.col("__id"), "left")
     problem = F.when(F.col("__id").isNull(), "bilinmeyen").when(F.col("__next").isNotNull(), "dongu")

@@ -63,9 +63,11 @@ def roll_up(plan: DataFrame, max_attempts: int = 2) -> DataFrame:
 
 def verdict_samples(plan: DataFrame, key: str = "key", most: int = 5) -> DataFrame:
     """(verdict, n, samples): the first keys of each verdict."""
-    first = plan.withColumn("__n", F.row_number().over(W.partitionBy("verdict").orderBy(key)))
-    named = F.array_sort(F.collect_list(F.when(F.col("__n") <= most, F.col(key))))
-    return first.groupBy("verdict").agg(F.count("*").alias("n"), named.alias("samples"))
+    nth = F.row_number().over(W.partitionBy("verdict").orderBy(F.asc_nulls_last(key)))
+    first = plan.select("verdict", F.col(key).alias("__key"), nth.alias("__n")).where(F.col("__n") <= most)
+    named = first.groupBy(F.col("verdict").alias("__verdict")).agg(F.array_sort(F.collect_list("__key")).alias("samples"))
+    counts = plan.groupBy("verdict").agg(F.count("*").alias("n"))
+    return counts.join(named, F.col("verdict").eqNullSafe(F.col("__verdict"))).select("verdict", "n", "samples")
 
 
 def attempts(answers: DataFrame, key: str = "key", most: int = 2) -> DataFrame:

@@ -46,9 +46,11 @@ def violations(rows: DataFrame, allowed: list[str], l1: bool) -> DataFrame:
 
 
 def rolled_up(broken: DataFrame, most: int = 5) -> DataFrame:
-    """(rule, n, samples): the first keys of each rule."""
-    first = broken.withColumn("__n", F.row_number().over(W.partitionBy("rule").orderBy("key")))
-    return first.groupBy("rule").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.when(F.col("__n") <= most, F.col("key")))).alias("samples"))
+    """(rule, n, samples): the first keys of each rule. There are few rules, so each task first keeps its own first keys."""
+    nth = F.row_number().over(W.partitionBy("rule").orderBy(F.asc_nulls_last("key")))
+    first = broken.select("rule", "key", nth.alias("__n")).where(F.col("__n") <= most).groupBy(F.col("rule").alias("__rule")).agg(F.array_sort(F.collect_list("key")).alias("samples"))
+    counts = broken.groupBy("rule").agg(F.count("*").alias("n"))
+    return counts.join(first, F.col("rule").eqNullSafe(F.col("__rule"))).select("rule", "n", "samples")
 
 
 def enforce(rows: DataFrame, allowed: list[str], l1: bool) -> DataFrame:
@@ -84,8 +86,25 @@ def content_digest(df: DataFrame) -> str:
     return hashlib.sha256("".join(f"{r.g}{r.h}" for r in groups.orderBy("g").collect()).encode()).hexdigest()
 
 
+def recover(spark: SparkSession, folder: str) -> bool:
+    """Puts back a shipment that a crashed `write` had put aside; whether there was one."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    target, previous = path(folder), path(f"{folder.rstrip('/')}.previous")
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if system.exists(target) or not system.exists(previous):
+        return False
+    if not system.rename(previous, target):
+        raise OSError(f"{folder}.previous could not be put back")
+    return True
+
+
 def write(spark: SparkSession, rows: DataFrame, folder: str, l1: str | None, allowed: list[str], version: str = "2") -> dict:
-    """Gates, writes all parts beside the target, and moves them into place together; returns the manifest."""
+    """Gates, writes all parts beside the target, and moves them into place together; returns the manifest.
+
+    The former shipment is put aside as `.previous` until the new one is in place: after a
+    crash between the two moves it is there whole, and the next call puts it back first.
+    """
+    recover(spark, folder)
     enforce(rows, allowed, l1 is not None)
     parts = {"core": core_items(rows), "l2": l2_text(rows)} | ({"l1": l1_gloss(rows, l1)} if l1 else {})
     staging = f"{folder.rstrip('/')}.staging"
@@ -98,9 +117,16 @@ def write(spark: SparkSession, rows: DataFrame, folder: str, l1: str | None, all
     jvm = spark.sparkContext._jvm
     target, source = jvm.org.apache.hadoop.fs.Path(folder), jvm.org.apache.hadoop.fs.Path(staging)
     system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    system.delete(target, True)
+    previous = jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}.previous")
+    if system.exists(target):
+        system.delete(previous, True)
+        if not system.rename(target, previous):
+            raise OSError(f"{folder} could not be put aside")
     if not system.rename(source, target):
+        if system.exists(previous):
+            system.rename(previous, target)
         raise OSError(f"{staging} could not be moved to {folder}")
+    system.delete(previous, True)
     return dict(meta)
 
 

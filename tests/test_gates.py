@@ -256,3 +256,11 @@ def test_catalog(spark):
     got = {r.rule_id: (r.final, r.problem) for r in G.resolved_rules(catalog).collect()}
     assert got["EN.TENSE.A"] == got["EN.TENSE.B"] == ("EN.TENSE.C", None) and got["EN.REL.X"] == (None, "dongu") and got["EN.COND.Z"] == (None, "bilinmeyen")
     assert {(r.rule_id, r.problem) for r in G.audit(catalog).collect()} == {("EN.OTHER.Q", "gecersiz_id"), ("en.rel.w", "gecersiz_id"), ("EN.REL.X", "dongu"), ("EN.REL.Y", "dongu"), ("EN.COND.Z", "bilinmeyen")}
+
+
+def test_long_chains_of_rules(spark):
+    rows = [(f"EN.A.R{i}", f"EN.A.R{i + 1}" if i < 299 else None) for i in range(300)]
+    found = G.resolved_rules(spark.createDataFrame(rows, "rule_id string, merged_into string"))
+    got = {r.rule_id: (r.final, r.steps) for r in found.collect()}
+    assert got["EN.A.R0"] == ("EN.A.R299", 299) and got["EN.A.R299"] == ("EN.A.R299", 0) and len(got) == 300
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1

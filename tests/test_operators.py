@@ -169,3 +169,19 @@ def test_views(spark):
     parents, children = spark.createDataFrame([(1,), (2,)], "k int"), spark.createDataFrame([(1, 2, "b"), (1, 1, "a")], "k int, seq int, t string")
     assert [[c.t for c in r.parts] for r in views.with_parts(parents, "k", parts=children).orderBy("k").collect()] == [["a", "b"], []]
     assert gates.valid_rule_id is not None
+
+
+def test_shipment_put_aside_comes_back(spark, tmp_path):
+    folder = tmp_path / "ship"
+    (tmp_path / "ship.previous").mkdir()
+    (tmp_path / "ship.previous" / "core").mkdir()
+    assert shipment.recover(spark, f"file://{folder}") and (folder / "core").is_dir()
+    assert not shipment.recover(spark, f"file://{folder}")
+
+
+def test_first_keys_of_few_groups(spark):
+    rows = [(f"r{i % 2}", f"k{i:03d}") for i in range(40)] + [("r0", "k000"), ("r3", None)]
+    got = {r.rule: (r.n, r.samples) for r in shipment.rolled_up(spark.createDataFrame(rows, "rule string, key string")).collect()}
+    assert got == {"r0": (21, ["k000", "k000", "k002", "k004", "k006"]), "r1": (20, ["k001", "k003", "k005", "k007", "k009"]), "r3": (1, [])}
+    plan = shipment.rolled_up(spark.createDataFrame(rows, "rule string, key string"))._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
