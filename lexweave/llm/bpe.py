@@ -42,7 +42,7 @@ NEW_NUMBERS = [(0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16
 #: Characters that one vectorised pass takes at most (a longer text is one pass by itself, in segments).
 PASS_CHARS = 1 << 20
 #: Distinct slices whose merges a worker remembers.
-CACHE_SLICES = 600_000
+CACHE_SLICES = 200_000
 
 
 def step(state: int, symbol: int) -> tuple[int, bool]:

@@ -107,6 +107,7 @@ def append_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], list[pa.Array]]
             for part in slices(batch, at):
                 arrays = [part.column(i) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays(arrays + fn(part.column(at)), names=keep + [n for n, _, _ in added])
+        pa.default_memory_pool().release_unused()  # workers are used again, by other operators too
 
     return slim.mapInArrow(run, schema)
 
