@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexweave.plans import pool, stores, texts
+from lexweave.plans import packages, pool, stores, texts
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**pool.QUERIES, **stores.QUERIES, **texts.QUERIES}
-ORACLES: dict[str, str] = {**pool.ORACLES, **stores.ORACLES, **texts.ORACLES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**packages.QUERIES, **pool.QUERIES, **stores.QUERIES, **texts.QUERIES}
+ORACLES: dict[str, str] = {**packages.ORACLES, **pool.ORACLES, **stores.ORACLES, **texts.ORACLES}
