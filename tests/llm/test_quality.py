@@ -63,3 +63,31 @@ def test_weights_agree_with_a_slow_fit():
             slope = slope + d / (1 + np.exp(d @ w)) / 300
         w = w + slope
     assert np.allclose(w, model.weights, atol=1e-3)
+
+
+def test_all_pairs_count():
+    """Node sums give the slopes of a plain sum over every pair."""
+    draw = np.random.default_rng(5)
+    z, w = draw.normal(size=(300, 3)) * 2, np.array([3.0, -1.0, 0.5])
+    y = (z[:, 0] + draw.normal(size=300) > 0.5).astype(int)
+    d = (z[y == 1][:, None] - z[y == 0][None]).reshape(-1, 3)
+    p = 1 / (1 + np.exp(-d @ w))
+    gradient, curve = q.pair_slopes(q.node_sums(z, y, w), 3, len(d))
+    assert np.allclose(gradient, d.T @ (1 - p) / len(d), rtol=1e-11, atol=1e-13)
+    assert np.allclose(curve, (d * (p * (1 - p))[:, None]).T @ d / len(d), rtol=1e-11, atol=1e-13)
+
+
+def test_fit_reads_every_labelled_row(spark):
+    """More rows of a label than any sample held: the model is that of all of them, whichever rows they are."""
+    draw = np.random.default_rng(6)
+    words = "a fine long sentence about rivers, stones and the quiet weather of spring.".split()
+    rows = [(i, " ".join(draw.choice(words, 4)) + (" !! x" if draw.random() < (0.2 if i % 3 else 0.7) else "")) for i in range(27_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(27_000)], "doc_id long, quality int")
+    got = q.fit(docs, labels, F.lit(True))
+    x, y = q.features([t for _, t in rows]), np.array([int(i % 3 > 0) for i, _ in rows])
+    want = q.fit_pairs(x, y)
+    assert np.allclose(got.centre, x.mean(axis=0), atol=1e-12) and np.allclose(got.scale, want.scale, atol=1e-12)
+    assert np.allclose(got.weights, want.weights, atol=1e-5) and abs(got.threshold - want.threshold) < 1e-5
+    scores = np.sort(np.clip((x - got.centre) / got.scale, -8, 8) @ got.weights)
+    assert abs(got.threshold - scores[8_999:9_001].mean()) < 1e-9
