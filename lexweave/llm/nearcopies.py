@@ -7,15 +7,20 @@ global order of the shingles, the first n - ceil(t n) + 1 of each share one.  So
 pair is missed, whatever the order; ours puts shingles that are frequent in a sample
 last, since they would make large groups.
 
-Links come in three rounds, and all are verified on the whole sets.  The first takes
+Links come in three rounds, and all are of verified whole sets.  The first takes
 the links of operator 10 (SimHash fingerprints of the same shingles under covering
 masks; its radius holds nearly equal texts only, about 0.95).  The others look for pairs
 in the groups of a prefix shingle, of classes that are still apart, and drop in place
 those that can't reach the similarity by their sizes or by parity bitmaps of a bit or
 two for each shingle (two sets differ in at least as many elements as their bitmaps do in
 bits).  The second round takes, of pairs well within the bound, no more than join the
-group's components, so that clusters of copies make few pairs; the third takes all
-that are left, whose classes no verified link joins.
+group's components, so that clusters of copies make few pairs.  The third takes all
+pairs that are left, whose classes no verified link joins, but doesn't send them out:
+a group names a forest that connects the classes of its possible pairs, so both ends
+of every possible pair are in one component of all the forests.  The sets of such a
+component meet, in blocks of bounded size, and are compared exactly in place; what
+goes out joins components only.  So the rows made are fewer than the rows of the
+groups, however many pairs those have.
 
 Defined results: a null text is the empty text; texts without words are one class.
 Rows with equal or null ids are kept, each with its class's component; component_id
@@ -36,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexweave.llm import simhash
+from lexweave.llm.bpe import gather_runs
 from lexweave.llm.common import append_columns, cut, text_chunks
 from lexweave.llm.graph import connected_components
 
@@ -55,6 +61,8 @@ SURE = 0.8
 PASS_CHARS = 1 << 20
 #: Rows of a group that are compared one by one.
 SMALL = 12
+#: Classes, and shingles, about, of a block of the third round; each two blocks of a component meet in a task.
+BLOCK_CLASSES, BLOCK_SHINGLES = 1024, 1 << 19
 #: Pairs of a group that are compared at a time.
 PAIRS_AT_ONCE = 1 << 20
 
@@ -178,12 +186,13 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy(), pa.int64()), pa.array(both[:, 1].copy(), pa.int64())], names=["a", "b"])
 
 
-def _apart(similarity: float, spanning: bool = False):
+def _apart(similarity: float, spanning: bool = False, alone: bool = False):
     """Arrow map over sorted (key, n, cls, root, bits): pairs of a group with different roots that may reach the similarity.
 
-    All of them; or of those that surely reach it, only as many as join the roots that they join.
+    All of them; or (spanning) of those that surely reach it, only as many as join the roots that
+    they join; or (alone too) of all of them, only as many as connect the classes that they connect.
     """
-    spare = (1 - similarity) / (1 + similarity) * (SURE if spanning else 1)
+    spare = (1 - similarity) / (1 + similarity) * (SURE if spanning and not alone else 1)
 
     def run(batches):
         for rows, cuts in _runs(batches):
@@ -194,7 +203,7 @@ def _apart(similarity: float, spanning: bool = False):
                 if hi - lo < 2 or (root[lo:hi] == root[lo]).all():
                     continue
                 of_group = _of_small_group if hi - lo <= SMALL else _of_group
-                for x, y in of_group(n[lo:hi].astype(np.int64), root[lo:hi], bits[lo:hi].to_pylist(), similarity, spare, spanning):
+                for x, y in of_group(n[lo:hi].astype(np.int64), root[lo:hi], bits[lo:hi].to_pylist(), similarity, spare, spanning, alone):
                     found.append((np.full(len(y), cls[lo + x]), cls[lo + y]))
                 if len(found) > PAIRS_AT_ONCE:
                     yield _pairs(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
@@ -205,16 +214,17 @@ def _apart(similarity: float, spanning: bool = False):
     return run
 
 
-def _of_small_group(n: np.ndarray, root: np.ndarray, bits: list[bytes], similarity: float, spare: float, spanning: bool) -> Iterator[tuple[int, np.ndarray]]:
+def _of_small_group(n: np.ndarray, root: np.ndarray, bits: list[bytes], similarity: float, spare: float, spanning: bool, alone: bool = False) -> Iterator[tuple[int, np.ndarray]]:
     """_of_group for a few rows, on plain numbers."""
     sizes, label = n.tolist(), root.tolist()
+    node = list(range(len(label))) if alone else label
     values = [(len(x), int.from_bytes(x, "little")) for x in bits]
     for i, (own, mine) in enumerate(values):
         partners, best = [], {}
         for j in range(i + 1, len(values)):
             if sizes[j] > sizes[i] / similarity + 1e-6:
                 break
-            if label[j] == label[i]:
+            if label[j] == label[i] or node[j] == node[i]:
                 continue
             (wide, theirs), (least, x) = values[j], (own, mine)
             while wide > least:
@@ -226,17 +236,19 @@ def _of_small_group(n: np.ndarray, root: np.ndarray, bits: list[bytes], similari
             both = sizes[i] + sizes[j]
             if (differ := (theirs ^ x).bit_count()) <= spare * both + 1e-6:
                 partners.append(j)
-                best[label[j]] = min(best.get(label[j], (9.0, 0)), (differ / both, j))
+                best[node[j]] = min(best.get(node[j], (9.0, 0)), (differ / both, j))
         if partners:
             if spanning:
                 partners = sorted(j for _, j in best.values())
-                label = [label[i] if r in best else r for r in label]
+                node = [node[i] if r in best else r for r in node]
+                label = label if alone else node
             yield i, np.array(partners)
 
 
-def _of_group(n: np.ndarray, root: np.ndarray, bits: list[bytes], similarity: float, spare: float, spanning: bool) -> Iterator[tuple[int, np.ndarray]]:
+def _of_group(n: np.ndarray, root: np.ndarray, bits: list[bytes], similarity: float, spare: float, spanning: bool, alone: bool = False) -> Iterator[tuple[int, np.ndarray]]:
     """(row, its partners among the later rows) of one group, whose sizes ascend."""
     label = np.unique(root, return_inverse=True)[1]
+    node = np.arange(len(n)) if alone else label  # what partners join
     # sizes are within a factor for partners, so rows are held by the number of words of their bitmaps and folded to the smaller of two
     wide = np.array([len(x) // 8 for x in bits])
     held = {w: np.frombuffer(b"".join(bits[i] for i in np.flatnonzero(wide == w)), np.uint64).reshape(-1, w) for w in np.unique(wide).tolist()}
@@ -245,7 +257,7 @@ def _of_group(n: np.ndarray, root: np.ndarray, bits: list[bytes], similarity: fl
         place[wide == w] = np.arange((wide == w).sum())
     ends = np.searchsorted(n, n / similarity + 1e-6, "right")
     for i in range(len(n)):
-        later = i + 1 + np.flatnonzero(label[i + 1 : ends[i]] != label[i])
+        later = i + 1 + np.flatnonzero((label[i + 1 : ends[i]] != label[i]) & (node[i + 1 : ends[i]] != node[i]))
         own, near, far = int(wide[i]), [], []
         for w in np.unique(wide[later]).tolist():
             j = later[wide[later] == w]
@@ -262,11 +274,11 @@ def _of_group(n: np.ndarray, root: np.ndarray, bits: list[bytes], similarity: fl
         if spanning:
             # of each component the row that is nearest
             partners = partners[np.lexsort((partners, np.concatenate(far)))]
-            joined, first = np.unique(label[partners], return_index=True)
+            joined, first = np.unique(node[partners], return_index=True)
             partners = np.sort(partners[first])
-            label[np.isin(label, joined)] = label[i]
+            node[np.isin(node, joined)] = node[i]
         yield i, partners
-        if spanning and (label == label[0]).all():
+        if spanning and (node == node[0]).all():
             return
 
 
@@ -301,6 +313,48 @@ def _verified(similarity: float):
     return run
 
 
+def _exact_links(sets: list[np.ndarray], root: np.ndarray, side: np.ndarray, similarity: float) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, later rows) whose sets reach the similarity, as many as join roots; rows of one side other than 0 are not compared."""
+    size = np.array([len(x) for x in sets])
+    shingle = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    order = np.argsort(shingle, kind="stable")
+    holders = np.repeat(np.arange(len(sets)), size)[order]
+    begin = np.searchsorted(shingle[order], np.arange(int(shingle.max()) + 2))
+    upto = np.cumsum(size)
+    label = np.unique(root, return_inverse=True)[1]
+    for i in range(len(sets) - 1):
+        other = (label != label[i]) & ((side != side[i]) | (side == 0))
+        other[: i + 1] = False
+        if not other.any():
+            continue
+        mine = shingle[upto[i] - size[i] : upto[i]]
+        common = np.bincount(gather_runs(holders, begin[mine], begin[mine + 1] - begin[mine]), minlength=len(sets))
+        partners = np.flatnonzero(other & (common >= similarity * (size[i] + size - common) - 1e-9))
+        if len(partners):
+            joined, first = np.unique(label[partners], return_index=True)
+            label[np.isin(label, joined)] = label[i]
+            yield i, partners[first]
+            if (label == label[0]).all():
+                return
+
+
+def _links(similarity: float):
+    """Arrow map over sorted (key, n, cls, root, side, set): verified pairs, as many as join the roots of a key's rows."""
+
+    def run(batches):
+        for rows, cuts in _runs(batches):
+            cls, root, side = (rows.column(i).to_numpy() for i in (2, 3, 4))
+            for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if (root[lo:hi] == root[lo]).all():
+                    continue
+                sets = [np.frombuffer(x, np.uint64) for x in rows.column(5)[lo:hi].to_pylist()]
+                found = [(np.full(len(y), cls[lo + x]), cls[lo + y]) for x, y in _exact_links(sets, root[lo:hi], side[lo:hi], similarity)]
+                if found:
+                    yield _pairs(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
+
+    return run
+
+
 def components(df: DataFrame, spark: SparkSession, text: str = "text", doc_id: str = "doc_id", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row a document: (doc_id, component_id); linked are all pairs of the Jaccard similarity or more."""
     marked, of_class = linked_classes(df, spark, text, doc_id, words, similarity)
@@ -345,11 +399,12 @@ def linked_classes(df: DataFrame, spark: SparkSession, text: str = "text", doc_i
     by_key = lambda rows: rows.repartition(tasks, "key").sortWithinPartitions("key", "n", "cls")
     shared = cut(by_key(keys).mapInArrow(_of_several, "key long, n int, cls long"), spark)  # keeps its order
     edges = _verify(_close_prints(classes, spark), slim, classes, spark, words, similarity)
-    for spanning in (True, False):
+    for alone in (False, True):
         roots = connected_components(edges, spark).withColumnRenamed("node", "cls")
         rooted = classes.select("cls", "bits").join(roots, "cls", "left").select("cls", F.coalesce("root", "cls").alias("root"), "bits")
         rows = by_key(shared.join(rooted, "cls").select("key", "n", "cls", "root", "bits"))
-        more = _verify(rows.mapInArrow(_apart(similarity, spanning), "a long, b long"), slim, classes, spark, words, similarity)
+        pairs = rows.mapInArrow(_apart(similarity, True, alone), "a long, b long")
+        more = _linked_within(pairs, slim, classes, rooted, spark, words, similarity, tasks) if alone else _verify(pairs, slim, classes, spark, words, similarity)
         edges = cut(edges.unionByName(more), spark)
     roots = connected_components(edges, spark).withColumnRenamed("node", "cls")
     linked = classes.select("cls", "least").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
@@ -392,3 +447,29 @@ def _verify(pairs: DataFrame, slim: DataFrame, classes: DataFrame, spark: SparkS
 
     both = sets_of("a").join(sets_of("b"), ["a", "b"]).select("a", "b", "own_a", "own_b")
     return cut(both.mapInArrow(_verified(similarity), "a long, b long"), spark)
+
+
+def _linked_within(pairs: DataFrame, slim: DataFrame, classes: DataFrame, rooted: DataFrame, spark: SparkSession, words: int, similarity: float, tasks: int) -> DataFrame:
+    """Verified pairs (a, b) of classes of different roots, which join what any pair within a component of the given pairs joins."""
+    near = connected_components(pairs, spark).select(F.col("node").alias("cls"), F.col("root").alias("within"))
+    named = cut(near.join(classes.select("cls", "n", "least"), "cls").join(rooted.select("cls", "root"), "cls"), spark)
+    number = named.count()
+    if not number:
+        return named.select(F.col("cls").alias("a"), F.col("root").alias("b"))
+    room = named.groupBy("within").agg(F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
+    placed = named.join(room, "within").withColumn("block", F.pmod(F.xxhash64("cls"), "blocks"))
+    bounded = F.broadcast if number <= BROADCAST_PAIRS else lambda x: x
+
+    def run(texts: pa.Array) -> list[pa.Array]:
+        sets = list(_sets(texts, words))
+        return [pa.array([_class_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
+
+    ids = cut(named.select(F.col("least").alias("__id")).distinct(), spark)
+    texts = slim.join(bounded(ids), slim.doc_id.eqNullSafe(F.col("__id")), "left_semi")
+    made = append_columns(texts, run, "text", [], [("cls", T.LongType(), pa.int64()), ("own", T.BinaryType(), pa.binary())])
+    own = made.join(bounded(named.select("cls")), "cls", "left_semi").groupBy("cls").agg(F.min("own").alias("own"))  # once, if ids repeat
+    met = own.join(placed, "cls").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    side = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)
+    key = F.xxhash64("within", F.least("block", "other"), F.greatest("block", "other"))
+    rows = met.select(key.alias("key"), "n", "cls", "root", side.alias("side"), "own").repartition(tasks, "key").sortWithinPartitions("key", "n", "cls")
+    return cut(rows.mapInArrow(_links(similarity), "a long, b long"), spark)

@@ -134,3 +134,53 @@ def test_groups_agree_with_brute_force():
                     return label
                 label = joined(few)
                 assert all(label[i] == label[j] for i, j in found)
+
+
+def test_large_group_of_near_copies_makes_few_pairs(spark, monkeypatch):
+    # any two copies have a Jaccard similarity of 0.81, or 0.77 in the second group, which bitmaps of some pairs don't tell
+    rnd = random.Random(3)
+    texts = []
+    for words in (100, 82):
+        base = ["b%d" % rnd.randrange(9000) for _ in range(words)]
+        texts += [" ".join(base[:i] + ["c%d" % i] + base[i + 1 :]) for i in range(6, words - 6)]
+    made = []
+    verify = n._verify
+
+    def seen(pairs, *args):
+        made.append(pairs.count())
+        return verify(pairs, *args)
+
+    monkeypatch.setattr(n, "_verify", seen)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for block in (1024, 20):  # one block, and several that meet
+        monkeypatch.setattr(n, "BLOCK_CLASSES", block)
+        got = {r.doc_id: r.component_id for r in n.components(df, spark).collect()}
+        assert [got[i] for i in range(len(texts))] == brute_components(texts)
+    assert max(made) < len(texts) * 25
+
+
+def test_forests_connect_all_possible_pairs():
+    rnd = np.random.default_rng(9)
+    for m in (3, 12, 60):
+        base = np.unique(rnd.integers(0, 2**63, 300).astype(np.uint64))
+        sets = sorted([np.unique(np.concatenate([base[rnd.random(len(base)) < rnd.choice([0.9, 0.95])], rnd.integers(0, 2**63, 5).astype(np.uint64)])) for _ in range(m)], key=len)
+        size, bits, root = np.array([len(x) for x in sets]), [n.bitmap(x) for x in sets], rnd.integers(0, max(2, m // 2), m)
+
+        def joined(pairs, label):
+            for i, j in pairs:
+                label = np.where(label == label[j], label[i], label)
+            return label
+
+        for group in (n._of_small_group, n._of_group):
+            every = [(i, j) for i, part in group(size, root, bits, 0.8, 0.2 / 1.8, False) for j in part.tolist()]
+            few = [(i, j) for i, part in group(size, root, bits, 0.8, 0.2 / 1.8, True, True) for j in part.tolist()]
+            assert set(few) <= set(every) and len(few) < m
+            label = joined(few, np.arange(m))
+            assert all(label[i] == label[j] for i, j in every)
+        link = lambda i, j: 10 * len(np.intersect1d(sets[i], sets[j])) >= 8 * len(np.union1d(sets[i], sets[j]))
+        for side in (np.zeros(m, int), 1 + rnd.integers(0, 2, m)):
+            true = [(i, j) for i in range(m) for j in range(i + 1, m) if root[i] != root[j] and (side[i] != side[j] or not side[i]) and link(i, j)]
+            found = [(i, j) for i, part in n._exact_links(sets, root, side, 0.8) for j in part.tolist()]
+            assert set(found) <= set(true) and len(found) < len(set(root.tolist()))
+            label, want = joined(found, root), joined(true, root)
+            assert all((label == label[i]).tolist() == (want == want[i]).tolist() for i in range(m))
