@@ -156,32 +156,31 @@ class Lanes:
         self.seen = []
         for k in (0, 1):
             at = self.use[k]
-            a = at * 16 + trust[k][at]
-            b = at * 32 + trust[1 - k][at] * 2 + same[at]
-            x, y, w = self.own[k][a], self.other[k][b], self.weight[k][a]
+            a = at * 16 + trust[k].take(at)
+            b = at * 32 + trust[1 - k].take(at) * 2 + same.take(at)
+            x, y, w = self.own[k].take(a), self.other[k].take(b), self.weight[k].take(a)
             p = np.minimum(np.maximum((w * x + (256 - w) * y) >> 8, 32), 4064)
             self.seen.append((a, b, x, y, w))
-            self.parts[k][at] = p if k == 0 else ((4096 - self.parts[0][at]) * p) >> 12
+            self.parts[k][at] = p if k == 0 else ((4096 - self.parts[0].take(at)) * p) >> 12
         self.proposed = self.parts[0] + self.parts[1]
 
     def learn(self, ids: np.ndarray, classes: np.ndarray, hit: list[np.ndarray]) -> None:
         """hit[k]: whether proposal k was the one that held."""
         for k in (0, 1):
             at, (a, b, x, y, w) = self.use[k], self.seen[k]
-            good = hit[k][at]
+            good = hit[k].take(at)
             if k:  # not asked where the first held
-                asked = ~hit[0][at]
-                at, a, b, x, y, w, good = at[asked], a[asked], b[asked], x[asked], y[asked], w[asked], good[asked]
-            goal = good * 4095
+                asked = np.flatnonzero(~hit[0].take(at))
+                a, b, x, y, w, good = (v.take(asked) for v in (a, b, x, y, w, good))
+            goal = good * np.int32(4095)
             self.own[k][a] = x + ((goal - x) >> 4)
             self.other[k][b] = y + ((goal - y) >> 5)
-            self.weight[k][a] = np.minimum(np.maximum(w + np.where(good, x > y, x < y) * 4 - 2, 8), 248)
+            better = np.where(good, x > y, x < y).view(np.int8)
+            self.weight[k][a] = np.minimum(np.maximum(w + (better * np.int8(4) - np.int8(2)), 8), 248)
         fresh = ids.astype(np.int32) * 16 + 1
         for k in (0, 1):
-            self.cells[k][self.slots[k]] = fresh
-            same = np.flatnonzero(self.guess[k] == ids)
-            cell = self.cell[k][same]
-            self.cells[k][self.slots[k][same]] = cell + ((cell & 15) < 15)
+            cell = self.cell[k]
+            self.cells[k][self.slots[k]] = np.where(self.guess[k] == ids, cell + ((cell & 15) < 15), fresh)
         self.since.append(self.count_base + classes)
         self.last = [ids, self.last[0]]
         self.steps += 1
@@ -203,7 +202,7 @@ def encode_lanes(ids: np.ndarray, order0: Order0 | None = None) -> list[bytes]:
     state = Lanes(n, order0)
     low, width = np.zeros(n, np.uint64), np.full(n, 2**64 - 1, np.uint64)
     place = np.zeros(n, np.int64)
-    out = np.zeros((steps // 2 + 64, n), np.int32)
+    out = np.zeros((steps // 2 + 69, n), np.int32)
     for step in range(steps):
         now = ids[step].astype(np.int64)
         state.odds()
@@ -216,13 +215,13 @@ def encode_lanes(ids: np.ndarray, order0: Order0 | None = None) -> list[bytes]:
         size *= rest * order0.size_of.take(now)
         hit = [np.zeros(n, bool), np.zeros(n, bool)]
         at = state.use[0]
-        won = at[state.guess[0][at] == now[at]]
+        won = at.take(np.flatnonzero(state.guess[0].take(at) == now.take(at)))
         hit[0][won] = True
-        cum[won], size[won] = 0, state.parts[0][won] << REST
+        cum[won], size[won] = 0, state.parts[0].take(won) << REST
         at = state.use[1]
-        won = at[(state.guess[1][at] == now[at]) & ~hit[0][at]]
+        won = at.take(np.flatnonzero((state.guess[1].take(at) == now.take(at)) & ~hit[0].take(at)))
         hit[1][won] = True
-        cum[won], size[won] = state.parts[0][won] << REST, state.parts[1][won] << REST
+        cum[won], size[won] = state.parts[0].take(won) << REST, state.parts[1].take(won) << REST
         r = width >> TOTAL
         moved = low + r * cum.view(np.uint64)
         carry = np.flatnonzero(moved < low)
@@ -232,15 +231,15 @@ def encode_lanes(ids: np.ndarray, order0: Order0 | None = None) -> list[bytes]:
         width = r * size.view(np.uint64)
         need = np.flatnonzero(width < LEAST)
         while len(need):
-            if int(place[need].max()) >= len(out):
+            at, begin, size = place.take(need), low.take(need), width.take(need) << DIGIT
+            if int(at.max()) >= len(out) - 5:  # the last digits have room too
                 out = np.concatenate([out, np.zeros((steps // 2 + 64, n), np.int32)])
-            out[place[need], need] = (low[need] >> TOP).astype(np.int32)
-            place[need] += 1
-            low[need] <<= DIGIT
-            width[need] <<= DIGIT
-            need = need[width[need] < LEAST]
+            out.reshape(-1)[at * n + need] = begin >> TOP
+            place[need] = at + 1
+            low[need] = begin << DIGIT
+            width[need] = size
+            need = need.take(np.flatnonzero(size < LEAST))
         state.learn(now, classes, hit)
-    out = np.concatenate([out, np.zeros((5, n), np.int32)])
     for _ in range(4):
         out[place, state.lane] = (low >> TOP).astype(np.int32)
         low <<= DIGIT
@@ -248,7 +247,7 @@ def encode_lanes(ids: np.ndarray, order0: Order0 | None = None) -> list[bytes]:
     for row in range(int(place.max()) - 1, 0, -1):  # carries
         out[row - 1] += out[row] >> 16
         out[row] &= 0xFFFF
-    digits = np.ascontiguousarray(out.T.astype(">u2"))
+    digits = np.ascontiguousarray(out[: int(place.max())].astype(">u2").T)
     return [digits[i, : place[i]].tobytes() for i in range(n)]
 
 
@@ -287,22 +286,23 @@ def decode_lanes(payloads: list[bytes], steps: int, order0: Order0 | None = None
         classes = at - state.class_base
         now = order0.id_at.take((classes << ID_BITS) + (inner - (begin << ID_BITS)) // size, mode="clip").astype(np.int64)
         won = np.flatnonzero(hit[0])
-        now[won] = state.guess[0][won]
+        now[won] = state.guess[0].take(won)
         other = np.flatnonzero(hit[1])
-        now[other] = state.guess[1][other]
+        now[other] = state.guess[1].take(other)
         cum = (state.proposed << REST) + ((begin << ID_BITS) + order0.start_of.take(now) * size) * rest
         size *= rest * order0.size_of.take(now)
-        cum[won], size[won] = 0, state.parts[0][won] << REST
-        cum[other], size[other] = state.parts[0][other] << REST, state.parts[1][other] << REST
+        cum[won], size[won] = 0, state.parts[0].take(won) << REST
+        cum[other], size[other] = state.parts[0].take(other) << REST, state.parts[1].take(other) << REST
         classes = order0.class_of.take(now)
         offset = offset - r * cum.view(np.uint64)
         width = r * size.view(np.uint64)
         need = np.flatnonzero(width < LEAST)
         while len(need):
-            offset[need] = (offset[need] << DIGIT) | digits[np.minimum(place[need], longest + 3), need].astype(np.uint64)
-            place[need] += 1
-            width[need] <<= DIGIT
-            need = need[width[need] < LEAST]
+            at, size = place.take(need), width.take(need) << DIGIT
+            offset[need] = (offset.take(need) << DIGIT) | digits.reshape(-1).take(np.minimum(at, longest + 3) * n + need).astype(np.uint64)
+            place[need] = at + 1
+            width[need] = size
+            need = need.take(np.flatnonzero(size < LEAST))
         out[step] = now
         state.learn(now, classes, hit)
     return out
@@ -435,9 +435,9 @@ class Chunks:
         shown = "\n".join(pieces).lower().encode().decode("latin-1").translate(self.characters)
         tokenize, ids, sizes = self.model.tokenize, self.piece_ids, self.piece_sizes
         for piece in shown.split(self.characters[10]) if pieces else ():
-            before = len(ids)
-            ids.extend([t.id for t in tokenize(piece)])
-            sizes.append(len(ids) - before)
+            own = [t.id for t in tokenize(piece)]
+            ids.extend(own)
+            sizes.append(len(own))
 
     def _add(self, chunks: list[str]) -> None:
         """New rows for these chunks, in their order."""
@@ -540,6 +540,8 @@ def write(df: DataFrame, spark: SparkSession, text: str = "text", doc_id: str =
                 add(cache, part, sizes, ids)
         if doc_ids:
             own, flat = np.concatenate(sizes), np.concatenate(ids)
+            sizes.clear(), ids.clear()
+            pa.default_memory_pool().release_unused()  # room for the coder
             name = f"ids-{number:06d}.mix"
             put_file(f"{folder}/{name}", pack_file(doc_ids, own, flat))
             yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([name]), pa.array([len(doc_ids)], pa.int64()), pa.array([len(flat)], pa.int64())], names=["number", "name", "docs", "ids"])

@@ -116,3 +116,10 @@ def test_order_0_predicts_whole_ids():
     data = rc.pack_file([1], np.array([len(ids)]), ids)
     assert len(data) * 8 / len(ids) < entropy + 0.6
     assert (rc.unpack_file(data)[2] == ids).all()
+
+
+def test_digits_beyond_the_first_room():
+    """Ids that nothing predicts need more digits than there is room for at first, the last four included."""
+    for steps in (1, 130, 256, 300):
+        ids = np.random.default_rng(steps).integers(0, 1 << 16, (steps, 300)).astype(np.uint16)
+        assert np.array_equal(rc.decode_lanes(rc.encode_lanes(ids), steps), ids)
