@@ -11,14 +11,14 @@ null end is ignored; no edges give no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexweave.llm.common import cut
+from lexweave.llm.common import cut, give_back
 
 #: Rounds after which something must be wrong: the stars need about log2 of the longest path.
 MAX_ROUNDS = 60
@@ -42,8 +42,8 @@ def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             root = root[root]
 
 
-def _starred(roots: bool = False):
-    """Arrow map over (a, b): the stars of each `ONE_TASK` edges or about; with the roots as their own, if asked."""
+def _starred(roots: bool = False, made_by: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] = iter):
+    """Arrow map over (a, b), or over rows of which made_by makes them: the stars of each `ONE_TASK` edges or about; with the roots as their own, if asked."""
     limit = ONE_TASK
 
     def of(held: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -53,7 +53,7 @@ def _starred(roots: bool = False):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, room = [], 0
-        for batch in batches:
+        for batch in made_by(batches):
             held.append(batch)
             room += batch.num_rows
             if room > limit:
@@ -61,6 +61,7 @@ def _starred(roots: bool = False):
                 held, room = [], 0
         if held:
             yield of(held)
+        give_back()
 
     return run
 
@@ -84,9 +85,14 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return linked.select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
 
 
-def connected_components(edges: DataFrame, spark: SparkSession) -> DataFrame:
-    """(node, root) for every node of an edge of (a, b): root is the least node reachable."""
-    now = cut(edges.select("a", "b").where("a <> b").mapInArrow(_starred(), "a long, b long"), spark)
+def connected_components(edges: DataFrame, spark: SparkSession, made_by: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] | None = None) -> DataFrame:
+    """(node, root) for every node of an edge of (a, b): root is the least node reachable.
+
+    made_by: an Arrow map that makes the edges, without nulls, of the rows of `edges`.  It runs in the
+    worker that reduces them; an Arrow map before it would keep a second worker for each core.
+    """
+    made = edges.select("a", "b").where("a <> b").mapInArrow(_starred(), "a long, b long") if made_by is None else edges.mapInArrow(_starred(made_by=made_by), "a long, b long")
+    now = cut(made, spark)
     if now.count() <= ONE_TASK:
         joined = now.coalesce(1).mapInArrow(_starred(roots=True), "a long, b long")
         return cut(joined.select(F.col("a").alias("node"), F.col("b").alias("root")), spark)

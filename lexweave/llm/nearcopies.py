@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 
 from lexweave.llm import simhash
 from lexweave.llm.bpe import gather_runs
-from lexweave.llm.common import append_columns, cut, text_chunks
+from lexweave.llm.common import append_columns, cut, give_back, text_chunks
 from lexweave.llm.graph import connected_components
 
 #: 64-bit words of the shortest parity bitmap.
@@ -179,6 +179,7 @@ def _of_several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts[cuts[:-1]] = True
         keep &= starts | np.concatenate([[True], cls[1:] != cls[:-1]])
         yield from rows.filter(pa.array(keep)).combine_chunks().to_batches()
+    give_back()
 
 
 def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -210,6 +211,7 @@ def _apart(similarity: float, spanning: bool = False, alone: bool = False):
                     found = []
             if found:
                 yield _pairs(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
+        give_back()
 
     return run
 
@@ -294,6 +296,7 @@ def _may_reach(similarity: float):
                 words = min(len(x), len(y)) // 8
                 differ[i] = np.bitwise_count(fold(x, words) ^ fold(y, words)).sum()
             yield batch.select([0, 1]).filter(pa.array(differ <= spare * sizes + 1e-6))
+        give_back()
 
     return run
 
@@ -309,6 +312,7 @@ def _verified(similarity: float):
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(common >= similarity * (len(x) + len(y) - common) - 1e-9)
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+        give_back()
 
     return run
 
@@ -351,6 +355,7 @@ def _links(similarity: float):
                 found = [(np.full(len(y), cls[lo + x]), cls[lo + y]) for x, y in _exact_links(sets, root[lo:hi], side[lo:hi], similarity)]
                 if found:
                     yield _pairs(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
+        give_back()
 
     return run
 
@@ -403,8 +408,11 @@ def linked_classes(df: DataFrame, spark: SparkSession, text: str = "text", doc_i
         roots = connected_components(edges, spark).withColumnRenamed("node", "cls")
         rooted = classes.select("cls", "bits").join(roots, "cls", "left").select("cls", F.coalesce("root", "cls").alias("root"), "bits")
         rows = by_key(shared.join(rooted, "cls").select("key", "n", "cls", "root", "bits"))
-        pairs = rows.mapInArrow(_apart(similarity, True, alone), "a long, b long")
-        more = _linked_within(pairs, slim, classes, rooted, spark, words, similarity, tasks) if alone else _verify(pairs, slim, classes, spark, words, similarity)
+        pairs = _apart(similarity, True, alone)
+        if alone:
+            more = _linked_within(connected_components(rows, spark, pairs), slim, classes, rooted, spark, words, similarity, tasks)
+        else:
+            more = _verify(rows.mapInArrow(pairs, "a long, b long"), slim, classes, spark, words, similarity)
         edges = cut(edges.unionByName(more), spark)
     roots = connected_components(edges, spark).withColumnRenamed("node", "cls")
     linked = classes.select("cls", "least").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
@@ -449,9 +457,9 @@ def _verify(pairs: DataFrame, slim: DataFrame, classes: DataFrame, spark: SparkS
     return cut(both.mapInArrow(_verified(similarity), "a long, b long"), spark)
 
 
-def _linked_within(pairs: DataFrame, slim: DataFrame, classes: DataFrame, rooted: DataFrame, spark: SparkSession, words: int, similarity: float, tasks: int) -> DataFrame:
-    """Verified pairs (a, b) of classes of different roots, which join what any pair within a component of the given pairs joins."""
-    near = connected_components(pairs, spark).select(F.col("node").alias("cls"), F.col("root").alias("within"))
+def _linked_within(forests: DataFrame, slim: DataFrame, classes: DataFrame, rooted: DataFrame, spark: SparkSession, words: int, similarity: float, tasks: int) -> DataFrame:
+    """Verified pairs (a, b) of classes of different roots, which join what any pair within a component, given as (node, root), joins."""
+    near = forests.select(F.col("node").alias("cls"), F.col("root").alias("within"))
     named = cut(near.join(classes.select("cls", "n", "least"), "cls").join(rooted.select("cls", "root"), "cls"), spark)
     number = named.count()
     if not number:

@@ -47,3 +47,12 @@ def test_few_edges_leave_few_files(spark):
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
     assert len(stages) <= 8
+
+
+def test_edges_made_in_the_same_worker(spark):
+    edges = [e for e in made(4) if None not in e]
+    df = spark.createDataFrame([(0, b, a) for a, b in edges], "x long, b long, a long").repartition(3)
+    swapped = lambda batches: (x.select([2, 1]) for x in batches)
+    got = {r.node: r.root for r in graph.connected_components(df, spark, swapped).collect()}
+    assert got == brute_roots(edges)
+    assert graph.connected_components(df.where("a = b"), spark, swapped).collect() == []

@@ -184,3 +184,36 @@ def test_forests_connect_all_possible_pairs():
             assert set(found) <= set(true) and len(found) < len(set(root.tolist()))
             label, want = joined(found, root), joined(true, root)
             assert all((label == label[i]).tolist() == (want == want[i]).tolist() for i in range(m))
+
+
+def chained_maps(plan):
+    """Arrow maps of a plan's text that stand over another one without an exchange between: each keeps a worker of its own for each core."""
+    found, above = 0, []
+    for line in plan.splitlines():
+        if not (m := re.search(r"[A-Z]\w+", line)):
+            continue
+        above = [x for x in above if x[0] < m.start()]
+        nearest = next((name for _, name in reversed(above) if "Exchange" in name or name == "MapInArrow"), "")
+        found += m[0] == nearest == "MapInArrow"
+        above.append((m.start(), m[0]))
+    return found
+
+
+def test_a_task_needs_one_worker(spark, monkeypatch):
+    one = "MapInArrow f\n+- Exchange x\n   +- MapInArrow g\n      +- Scan parquet"
+    assert chained_maps(one) == 0 and chained_maps(one.replace("Exchange", "Project")) == 1
+    plans = []
+
+    def seen(df, spark, cut=n.cut):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df, spark)
+
+    monkeypatch.setattr(n, "cut", seen)
+    monkeypatch.setattr("lexweave.llm.graph.cut", seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        n.components(spark.createDataFrame(list(enumerate(made()[:60])), "doc_id long, text string").repartition(3), spark)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum("MapInArrow" in p for p in plans) >= 5
+    assert [p for p in plans if chained_maps(p)] == []
